@@ -112,3 +112,35 @@ def yearly_label(spark, sf_dir):
 def label_distribution(spark, sf_dir):
     lab = L.yearly_quantile_label(B.bars_daily(spark, sf_dir))
     return round_cols(L.label_distribution(lab))
+
+
+# ------------------------------------------------------------------ step 5
+from ..operators import indicators as I  # noqa: E402
+
+
+@query("rsi")
+def rsi(spark, sf_dir):
+    return round_cols(I.rsi(B.bars_daily(spark, sf_dir)).select(*KEYS, "rsi"))
+
+
+@query("macd")
+def macd(spark, sf_dir):
+    out = I.macd(B.bars_daily(spark, sf_dir))
+    return round_cols(out.select(*KEYS, "macd", "macd_signal", "macd_indicator"))
+
+
+@query("bollinger")
+def bollinger(spark, sf_dir):
+    out = I.bollinger(B.bars_daily(spark, sf_dir))
+    return round_cols(out.select(*KEYS, "upper_bollinger", "lower_bollinger"))
+
+
+@query("stochastic")
+def stochastic(spark, sf_dir):
+    out = I.stochastic(B.bars_daily(spark, sf_dir))
+    return round_cols(out.select(*KEYS, "stochastic_d", "stochastic_k"))
+
+
+@query("obv")
+def obv(spark, sf_dir):
+    return round_cols(I.obv(B.bars_daily(spark, sf_dir)).select(*KEYS, "obv"))

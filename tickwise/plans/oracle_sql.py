@@ -153,6 +153,89 @@ labelled AS (
 )"""
 
 
+def _seq(src: str = "bars") -> str:
+    w = win()
+    return f"""
+seq AS (
+  SELECT symbol, date, close, high, low, volume,
+         row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn,
+         greatest(coalesce(close - lag(close) {w}, 0), 0) AS gain,
+         greatest(-coalesce(close - lag(close) {w}, 0), 0) AS loss
+  FROM {src}
+)"""
+
+
+def rsi_sql(window: int = 21) -> str:
+    r = f"(1 - 1.0::DOUBLE / {window})"   # com = window - 1  ->  alpha = 1 / window
+    return "WITH RECURSIVE " + ",".join([BARS, _seq(), f"""
+rec AS (
+  SELECT symbol, rn, date, gain AS gn, loss AS ln, 1.0::DOUBLE AS den FROM seq WHERE rn = 1
+  UNION ALL
+  SELECT s.symbol, s.rn, s.date, s.gain + {r} * p.gn, s.loss + {r} * p.ln, 1 + {r} * p.den
+  FROM rec p JOIN seq s ON s.symbol = p.symbol AND s.rn = p.rn + 1
+),
+raw AS (
+  SELECT symbol, date, rn,
+         CASE WHEN rn >= {window} THEN 100 * (gn / den) / NULLIF(gn / den + ln / den, 0) END AS v
+  FROM rec
+)"""]) + f"""
+SELECT symbol, date, {dr('lag(v) OVER (PARTITION BY symbol ORDER BY rn)')} AS rsi FROM raw"""
+
+
+def macd_sql(short: int = 21, long: int = 50, signal: int = 15) -> str:
+    a1, a2, a3 = (f"(1.0::DOUBLE / {short + 1})", f"(1.0::DOUBLE / {long + 1})",
+                  f"(2.0::DOUBLE / {signal + 1})")
+    return "WITH RECURSIVE " + ",".join([BARS, _seq(), f"""
+rec AS (
+  SELECT symbol, rn, date, close AS es, close AS el, 0.0::DOUBLE AS sig FROM seq WHERE rn = 1
+  UNION ALL
+  SELECT s.symbol, s.rn, s.date,
+         {a1} * s.close + (1 - {a1}) * p.es,
+         {a2} * s.close + (1 - {a2}) * p.el,
+         {a3} * (({a1} * s.close + (1 - {a1}) * p.es) - ({a2} * s.close + (1 - {a2}) * p.el))
+           + (1 - {a3}) * p.sig
+  FROM rec p JOIN seq s ON s.symbol = p.symbol AND s.rn = p.rn + 1
+)"""]) + f"""
+SELECT symbol, date,
+       {dr('lag(es - el) OVER (PARTITION BY symbol ORDER BY rn)')} AS macd,
+       {dr('lag(sig) OVER (PARTITION BY symbol ORDER BY rn)')} AS macd_signal,
+       {dr('lag(es - el - sig) OVER (PARTITION BY symbol ORDER BY rn)')} AS macd_indicator
+FROM rec"""
+
+
+def indicator_sqls() -> dict[str, str]:
+    w = win()
+    q = {"rsi": rsi_sql(), "macd": macd_sql()}
+    q["bollinger"] = with_ctes(BARS, f"""
+bb AS (
+  SELECT symbol, date,
+    {gated('avg', 'close', 20)} AS mid, {gated('stddev_samp', 'close', 20)} AS sd
+  FROM bars
+)""") + f"""
+SELECT symbol, date, {dr(f'lag(mid + 2 * sd) {w}')} AS upper_bollinger,
+       {dr(f'lag(mid - 2 * sd) {w}')} AS lower_bollinger FROM bb"""
+    q["stochastic"] = with_ctes(BARS, f"""
+k1 AS (
+  SELECT symbol, date,
+    (close - {gated('min', 'low', 21)})
+      / NULLIF({gated('max', 'high', 21)} - {gated('min', 'low', 21)}, 0) * 100 AS k
+  FROM bars
+),
+k2 AS (SELECT symbol, date, k, {gated('avg', 'k', 3)} AS d FROM k1)""") + f"""
+SELECT symbol, date, {dr(f'lag(d) {w}')} AS stochastic_d, {dr(f'lag(k) {w}')} AS stochastic_k
+FROM k2"""
+    q["obv"] = with_ctes(BARS, f"""
+o1 AS (
+  SELECT symbol, date, volume,
+    CASE WHEN close > lag(close) {w} THEN volume
+         WHEN close < lag(close) {w} THEN -volume ELSE 0 END AS step
+  FROM bars
+),
+o2 AS (SELECT symbol, date, sum(step) {win(frame='ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW')} AS run FROM o1)""") + f"""
+SELECT symbol, date, {dr(f'lag(run) {w}')} AS obv FROM o2"""
+    return q
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     bar_cols = ["open", "high", "low", "close", "volume"]
@@ -182,4 +265,5 @@ SELECT symbol, count(*) AS n_samples,
        {dr('avg(CASE WHEN target_3m = 1 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)')} AS share_pos,
        min(date) AS first_date, max(date) AS last_date
 FROM labelled GROUP BY symbol"""
+    q.update(indicator_sqls())
     return q
