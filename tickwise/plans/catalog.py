@@ -144,3 +144,29 @@ def stochastic(spark, sf_dir):
 @query("obv")
 def obv(spark, sf_dir):
     return round_cols(I.obv(B.bars_daily(spark, sf_dir)).select(*KEYS, "obv"))
+
+
+# ------------------------------------------------------------------ step 6
+from ..operators import macro as M  # noqa: E402
+from ..sources import macro as SM  # noqa: E402
+
+
+@query("vix_features")
+def vix_features(spark, sf_dir):
+    return round_cols(M.vix_features(SM.macro_daily(spark, sf_dir)))
+
+
+@query("yield_features")
+def yield_features(spark, sf_dir):
+    return round_cols(M.yield_features(SM.macro_daily(spark, sf_dir)))
+
+
+@query("cpi_features")
+def cpi_features(spark, sf_dir):
+    return round_cols(M.cpi_features(SM.macro_monthly(spark, sf_dir)))
+
+
+@query("macro_calendar")
+def macro_calendar(spark, sf_dir):
+    return round_cols(M.build_macro(SM.macro_daily(spark, sf_dir),
+                                    SM.macro_monthly(spark, sf_dir)))

@@ -236,6 +236,63 @@ SELECT symbol, date, {dr(f'lag(run) {w}')} AS obv FROM o2"""
     return q
 
 
+def _nn(cols) -> str:
+    return " AND ".join(f"{c} IS NOT NULL" for c in cols)
+
+
+VIXC = ["vix", "vix_change_20d", "vix_z20"]
+CPIC = ["cpi", "cpi_yoy", "cpi_mom", "cpi_yoy_trend", "cpi_yoy_z"]
+YLDC = ["yield_10y", "yield_10y_change", "yield_10y_roc", "yield_10y_z"]
+
+
+def _z(x: str, k: int) -> str:
+    return (f"({x} - {gated('avg', x, k, key=None)}) / "
+            f"({gated('stddev_samp', x, k, key=None)} + 1e-9)")
+
+
+MACRO_CTES = f"""
+vs AS (SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) / 10000.0::DOUBLE AS v
+       FROM orders GROUP BY 1),
+vix0 AS (
+  SELECT date, v AS vix, v / NULLIF(lag(v, 20) OVER (ORDER BY date), 0) - 1 AS vix_change_20d,
+         {_z('v', 20)} AS vix_z20
+  FROM vs),
+vixf AS (SELECT * FROM vix0 WHERE {_nn(VIXC)}),
+ts AS (SELECT CAST(l_shipdate AS DATE) AS date, avg(l_discount) * 1000.0::DOUBLE / 10.0::DOUBLE AS y
+       FROM lineitem GROUP BY 1),
+yld0 AS (
+  SELECT date, y AS yield_10y, y - lag(y) OVER (ORDER BY date) AS yield_10y_change,
+         y / NULLIF(lag(y) OVER (ORDER BY date), 0) - 1 AS yield_10y_roc,
+         {_z('y', 60)} AS yield_10y_z
+  FROM ts),
+yldf AS (SELECT * FROM yld0 WHERE {_nn(YLDC)}),
+cm AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS date,
+              avg(o_totalprice) / 1000.0::DOUBLE AS cpi FROM orders GROUP BY 1),
+c1 AS (SELECT date, cpi, cpi / NULLIF(lag(cpi, 12) OVER (ORDER BY date), 0) - 1 AS cpi_yoy,
+              cpi / NULLIF(lag(cpi, 1) OVER (ORDER BY date), 0) - 1 AS cpi_mom FROM cm),
+c2 AS (SELECT *, {gated('avg', 'cpi_yoy', 6, key=None)} AS cpi_yoy_trend,
+              {_z('cpi_yoy', 24)} AS cpi_yoy_z,
+              lead(date) OVER (ORDER BY date) AS nxt FROM c1),
+cd AS (SELECT CAST(unnest(generate_series(CAST(date AS TIMESTAMP),
+                   CAST(coalesce(nxt - 1, date) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS day,
+              cpi, cpi_yoy, cpi_mom, cpi_yoy_trend, cpi_yoy_z FROM c2),
+cpif AS (SELECT day AS date, cpi, cpi_yoy, cpi_mom, cpi_yoy_trend, cpi_yoy_z FROM cd
+         WHERE {_nn(CPIC)}),
+cal0 AS (SELECT * FROM vixf FULL OUTER JOIN cpif USING (date) FULL OUTER JOIN yldf USING (date)),
+macro AS (
+  SELECT date, {", ".join(f"last_value({c} IGNORE NULLS) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}" for c in VIXC + CPIC + YLDC)}
+  FROM cal0)"""
+
+
+def macro_sqls() -> dict[str, str]:
+    q = {}
+    for name, src, cols in (("vix_features", "vixf", VIXC), ("cpi_features", "cpif", CPIC),
+                            ("yield_features", "yldf", YLDC), ("macro_calendar", "macro",
+                                                               VIXC + CPIC + YLDC)):
+        q[name] = with_ctes(MACRO_CTES) + "\n" + select_rounded(src, ["date"], cols)
+    return q
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     bar_cols = ["open", "high", "low", "close", "volume"]
@@ -266,4 +323,5 @@ SELECT symbol, count(*) AS n_samples,
        min(date) AS first_date, max(date) AS last_date
 FROM labelled GROUP BY symbol"""
     q.update(indicator_sqls())
+    q.update(macro_sqls())
     return q
