@@ -170,3 +170,124 @@ def cpi_features(spark, sf_dir):
 def macro_calendar(spark, sf_dir):
     return round_cols(M.build_macro(SM.macro_daily(spark, sf_dir),
                                     SM.macro_monthly(spark, sf_dir)))
+
+
+# ------------------------------------------------------------------ step 8
+from ..operators import relative as RS  # noqa: E402
+
+BENCHMARK = "AMERICA"
+BENCHMARKS = ["AMERICA", "EUROPE"]
+
+
+@query("forward_fill")
+def forward_fill(spark, sf_dir):
+    bars = B.bars_daily(spark, sf_dir)
+    out = RS.align_benchmarks(bars, bars.select("symbol", "date", "close"), [BENCHMARK])
+    return round_cols(out.select(*KEYS, F.col("_b0").alias("bench_close"),
+                                 F.col("_bf0").alias("bench_close_ffill")))
+
+
+@query("relative_strength")
+def relative_strength(spark, sf_dir):
+    out = RS.relative_strength(B.bars_daily(spark, sf_dir), BENCHMARKS)
+    return round_cols(out.select(*KEYS, *[RS.rs_name(b) for b in BENCHMARKS]))
+
+
+# ------------------------------------------------------------------ step 10
+from ..operators import split as S  # noqa: E402
+
+SPLIT_DATE = "1999-01-01"
+
+
+def _labelled_split(spark, sf_dir, with_price=False):
+    bars = B.bars_daily(spark, sf_dir)
+    if with_price:
+        bars = P.price_features(bars)
+    lab = L.yearly_quantile_label(bars)
+    return S.temporal_split(lab, SPLIT_DATE)
+
+
+@query("train_test_split")
+def train_test_split(spark, sf_dir):
+    return _labelled_split(spark, sf_dir).select(*KEYS, "split")
+
+
+@query("walk_forward_folds")
+def walk_forward_folds(spark, sf_dir):
+    train = _labelled_split(spark, sf_dir).where(F.col("split") == "train")
+    return S.walk_forward_folds(train).select(*KEYS, "row_idx", "test_fold")
+
+
+@query("recency_weights")
+def recency_weights(spark, sf_dir):
+    train = _labelled_split(spark, sf_dir).where(F.col("split") == "train")
+    return round_cols(S.recency_weights(train).select(*KEYS, "weight"))
+
+
+@query("class_balance")
+def class_balance(spark, sf_dir):
+    train = _labelled_split(spark, sf_dir).where(F.col("split") == "train")
+    return round_cols(S.class_balance(train))
+
+
+# ------------------------------------------------------------------ step 11
+from ..operators import evaluate as E  # noqa: E402
+
+
+def _scored(spark, sf_dir):
+    """Deterministic score for the evaluation operators: the (shifted)
+    stochastic %K rescaled to [0, 1], against the yearly label."""
+    st = I.stochastic(_labelled_split(spark, sf_dir))
+    return st.select(*KEYS, F.col("target_3m").alias("label"),
+                     (F.col("stochastic_k") / F.lit(100.0)).alias("p"), "split") \
+             .where(F.col("p").isNotNull() & F.col("split").isNotNull())
+
+
+def _test_pred(spark, sf_dir):
+    sc = _scored(spark, sf_dir)
+    best = E.best_threshold(sc.where(F.col("split") == "train"))
+    test = sc.where(F.col("split") == "test").join(best, "symbol")
+    return E.predict(test, "threshold")
+
+
+@query("threshold_sweep")
+def threshold_sweep(spark, sf_dir):
+    sc = _scored(spark, sf_dir).where(F.col("split") == "train")
+    return round_cols(E.threshold_sweep(sc))
+
+
+@query("confusion")
+def confusion(spark, sf_dir):
+    return E.confusion(_test_pred(spark, sf_dir))
+
+
+@query("classification_report")
+def classification_report(spark, sf_dir):
+    return round_cols(E.classification_report(_test_pred(spark, sf_dir)))
+
+
+@query("accuracy")
+def accuracy(spark, sf_dir):
+    pr = _test_pred(spark, sf_dir)
+    return round_cols(E.accuracy(pr).join(E.f1_score(pr), "symbol"))
+
+
+@query("roc_auc")
+def roc_auc(spark, sf_dir):
+    sc = _scored(spark, sf_dir).where(F.col("split") == "test")
+    return round_cols(E.roc_auc(sc))
+
+
+CORR_FEATURES = ["open", "high", "low", "close", "volume", *P.PRICE_FEATURES]
+
+
+@query("feature_label_corr")
+def feature_label_corr(spark, sf_dir):
+    train = _labelled_split(spark, sf_dir, with_price=True).where(F.col("split") == "train")
+    return round_cols(E.label_correlation(train, CORR_FEATURES))
+
+
+@query("mean_corr")
+def mean_corr(spark, sf_dir):
+    train = _labelled_split(spark, sf_dir, with_price=True).where(F.col("split") == "train")
+    return round_cols(E.mean_correlation(E.label_correlation(train, CORR_FEATURES)))

@@ -138,6 +138,10 @@ def price_query(cols: list[str]) -> str:
         "price", ["symbol", "date"], cols)
 
 
+def label_ctes(src: str = "bars") -> str:
+    return LABEL_CTES.replace("FROM bars", f"FROM {src}")
+
+
 LABEL_CTES = """
 fwd AS (
   SELECT *, lead(close, 63) OVER (PARTITION BY symbol ORDER BY date) / NULLIF(close, 0) - 1
@@ -293,6 +297,180 @@ def macro_sqls() -> dict[str, str]:
     return q
 
 
+SPLIT = "DATE '1999-01-01'"
+SPLIT_CTES = f"""
+sb AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol, date <= {SPLIT} ORDER BY date DESC) AS rn_back
+  FROM labelled
+),
+splitted AS (
+  SELECT *, CASE WHEN date >= {SPLIT} THEN 'test'
+                 WHEN date <= {SPLIT} AND rn_back > 1 THEN 'train' END AS split
+  FROM sb
+)"""
+
+
+def _stoch_k(src: str) -> str:
+    return f"""
+sk AS (
+  SELECT *, (close - {gated('min', 'low', 21)})
+            / NULLIF({gated('max', 'high', 21)} - {gated('min', 'low', 21)}, 0) * 100 AS k_now
+  FROM {src}
+),
+scored AS (
+  SELECT symbol, date, target_3m AS label, p, split FROM (
+    SELECT *, lag(k_now) {win()} / 100.0::DOUBLE AS p FROM sk)
+  WHERE p IS NOT NULL AND split IS NOT NULL
+)"""
+
+
+GRID = """
+grid AS (
+  SELECT CAST(i AS INTEGER) AS t_idx,
+         CASE WHEN i = 49 THEN 0.95::DOUBLE
+              ELSE i * ((0.95::DOUBLE - 0.05::DOUBLE) / 49) + 0.05::DOUBLE END AS threshold
+  FROM range(50) t(i)
+),
+sw AS (
+  SELECT s.symbol, g.t_idx, g.threshold,
+         CAST(sum(CASE WHEN s.label = 1 AND s.p >= g.threshold THEN 1 ELSE 0 END) AS BIGINT) AS tp,
+         CAST(sum(CASE WHEN s.label = 0 AND s.p >= g.threshold THEN 1 ELSE 0 END) AS BIGINT) AS fp,
+         CAST(sum(CASE WHEN s.label = 1 AND s.p < g.threshold THEN 1 ELSE 0 END) AS BIGINT) AS fn
+  FROM scored s CROSS JOIN grid g WHERE s.split = 'train'
+  GROUP BY s.symbol, g.t_idx, g.threshold
+),
+sw2 AS (
+  SELECT *, CASE WHEN 2 * tp + fp + fn > 0 THEN CAST(2 * tp AS DOUBLE) / (2 * tp + fp + fn)
+                 ELSE 0.0::DOUBLE END AS f1
+  FROM sw
+),
+sweep AS (
+  SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY f1 DESC, t_idx) = 1 AS is_best
+  FROM sw2
+),
+pred AS (
+  SELECT s.symbol, s.label, CAST(s.p >= b.threshold AS INTEGER) AS pred, s.p
+  FROM scored s JOIN (SELECT symbol, threshold FROM sweep WHERE is_best) b USING (symbol)
+  WHERE s.split = 'test'
+),
+cnt AS (
+  SELECT symbol,
+    CAST(count(*) FILTER (WHERE label = 0 AND pred = 0) AS BIGINT) AS tn,
+    CAST(count(*) FILTER (WHERE label = 0 AND pred = 1) AS BIGINT) AS fp,
+    CAST(count(*) FILTER (WHERE label = 1 AND pred = 0) AS BIGINT) AS fn,
+    CAST(count(*) FILTER (WHERE label = 1 AND pred = 1) AS BIGINT) AS tp
+  FROM pred GROUP BY symbol
+)"""
+
+
+def _eval_base() -> str:
+    return with_ctes(BARS, LABEL_CTES, SPLIT_CTES, _stoch_k("splitted"), GRID)
+
+
+def _d0(a: str, b: str) -> str:
+    return f"CASE WHEN ({b}) > 0 THEN CAST({a} AS DOUBLE) / ({b}) ELSE 0.0::DOUBLE END"
+
+
+def eval_sqls() -> dict[str, str]:
+    q = {}
+    w = win()
+    q["forward_fill"] = with_ctes(BARS, f"""
+j AS (SELECT b.symbol, b.date, x.close AS bench_close
+      FROM bars b LEFT JOIN (SELECT date, close FROM bars WHERE symbol = 'AMERICA') x USING (date)),
+f AS (SELECT *, last_value(bench_close IGNORE NULLS) {win(frame='ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW')} AS bench_close_ffill FROM j)""") + "\n" + select_rounded("f", ["symbol", "date"], ["bench_close", "bench_close_ffill"])
+    q["relative_strength"] = with_ctes(BARS, f"""
+j AS (SELECT b.symbol, b.date, b.close, a.close AS ca, e.close AS ce
+      FROM bars b
+      LEFT JOIN (SELECT date, close FROM bars WHERE symbol = 'AMERICA') a USING (date)
+      LEFT JOIN (SELECT date, close FROM bars WHERE symbol = 'EUROPE') e USING (date)),
+f AS (SELECT *, last_value(ca IGNORE NULLS) {win(frame='ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW')} AS fa,
+              last_value(ce IGNORE NULLS) {win(frame='ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW')} AS fe FROM j),
+g AS (SELECT symbol, date,
+        (close / NULLIF(lag(close) {w}, 0) - 1) - (fa / NULLIF(lag(fa) {w}, 0) - 1) AS rs_america,
+        (close / NULLIF(lag(close) {w}, 0) - 1) - (fe / NULLIF(lag(fe) {w}, 0) - 1) AS rs_europe
+      FROM f)""") + "\n" + select_rounded("g", ["symbol", "date"], ["rs_america", "rs_europe"])
+    base = with_ctes(BARS, LABEL_CTES, SPLIT_CTES)
+    q["train_test_split"] = base + "\nSELECT symbol, date, split FROM splitted"
+    q["walk_forward_folds"] = base + """,
+tr AS (SELECT symbol, date, CAST(row_number() OVER (PARTITION BY symbol ORDER BY date) - 1 AS BIGINT) AS row_idx,
+              count(*) OVER (PARTITION BY symbol) AS n
+       FROM splitted WHERE split = 'train')
+SELECT symbol, date, row_idx,
+       CAST(CASE WHEN n // 6 > 0 AND row_idx >= n - 5 * (n // 6)
+                 THEN (row_idx - (n - 5 * (n // 6))) // (n // 6) ELSE -1 END AS INTEGER) AS test_fold
+FROM tr"""
+    q["recency_weights"] = base + f"""
+SELECT symbol, date, {dr("pow(0.99::DOUBLE, CAST(date_diff('day', date, max(date) OVER (PARTITION BY symbol)) AS DOUBLE) / 30.0::DOUBLE)")} AS weight
+FROM splitted WHERE split = 'train'"""
+    q["class_balance"] = base + f"""
+SELECT symbol, CAST(sum(target_3m) AS BIGINT) AS positives,
+       CAST(count(*) - sum(target_3m) AS BIGINT) AS negatives,
+       {dr('(count(*) - sum(target_3m)) / greatest(sum(target_3m), 1)')} AS pos_scale
+FROM splitted WHERE split = 'train' GROUP BY symbol"""
+    e = _eval_base()
+    q["threshold_sweep"] = e + "\n" + select_rounded(
+        "sweep", ["symbol", "t_idx"], ["threshold"]).replace(
+        " FROM sweep", ", tp, fp, fn, " + rnd("f1") + ", is_best FROM sweep")
+    q["confusion"] = e + """,
+tot AS (SELECT symbol, tn, fp, fn, tp FROM cnt
+        UNION ALL SELECT 'ALL', CAST(sum(tn) AS BIGINT), CAST(sum(fp) AS BIGINT),
+                         CAST(sum(fn) AS BIGINT), CAST(sum(tp) AS BIGINT) FROM cnt)
+SELECT symbol, 0 AS label, 0 AS pred, tn AS n FROM tot
+UNION ALL SELECT symbol, 0, 1, fp FROM tot
+UNION ALL SELECT symbol, 1, 0, fn FROM tot
+UNION ALL SELECT symbol, 1, 1, tp FROM tot"""
+    rep = f"""
+rp AS (
+  SELECT symbol, tn + fp AS s0, fn + tp AS s1, tn + fp + fn + tp AS n,
+    {_d0('tn', 'tn + fn')} AS p0, {_d0('tn', 'tn + fp')} AS r0, {_d0('2 * tn', '2 * tn + fn + fp')} AS f0,
+    {_d0('tp', 'tp + fp')} AS p1, {_d0('tp', 'tp + fn')} AS r1, {_d0('2 * tp', '2 * tp + fp + fn')} AS f1,
+    {_d0('tn + tp', 'tn + fp + fn + tp')} AS acc
+  FROM cnt
+),
+rows AS (
+  SELECT symbol, '0' AS class_label, p0 AS precision, r0 AS recall, f0 AS f1, s0 AS support FROM rp
+  UNION ALL SELECT symbol, '1', p1, r1, f1, s1 FROM rp
+  UNION ALL SELECT symbol, 'accuracy', NULL::DOUBLE, NULL::DOUBLE, acc, n FROM rp
+  UNION ALL SELECT symbol, 'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f0 + f1) / 2, n FROM rp
+  UNION ALL SELECT symbol, 'weighted avg', (p0 * s0 + p1 * s1) / NULLIF(n, 0),
+                   (r0 * s0 + r1 * s1) / NULLIF(n, 0), (f0 * s0 + f1 * s1) / NULLIF(n, 0), n FROM rp
+)"""
+    q["classification_report"] = e + "," + rep + f"""
+SELECT symbol, class_label, {rnd('precision')}, {rnd('recall')}, {rnd('f1')},
+       CAST(support AS BIGINT) AS support FROM rows"""
+    q["accuracy"] = e + f"""
+SELECT p.symbol, {dr("avg(CASE WHEN label = pred THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)")} AS accuracy,
+       count(*) AS n,
+       {dr(_d0('2 * max(c.tp)', '2 * max(c.tp) + max(c.fp) + max(c.fn)'))} AS f1
+FROM pred p JOIN cnt c USING (symbol) GROUP BY p.symbol"""
+    q["roc_auc"] = with_ctes(BARS, LABEL_CTES, SPLIT_CTES, _stoch_k("splitted")) + f""",
+rk AS (
+  SELECT symbol, label,
+         rank() OVER (PARTITION BY symbol ORDER BY p) + (count(*) OVER (PARTITION BY symbol, p) - 1) / 2.0::DOUBLE AS r
+  FROM scored WHERE split = 'test'
+),
+agg AS (
+  SELECT symbol, sum(CASE WHEN label = 1 THEN r ELSE 0 END) AS rs,
+         CAST(sum(label) AS DOUBLE) AS np, CAST(count(*) - sum(label) AS DOUBLE) AS nn
+  FROM rk GROUP BY symbol
+)
+SELECT symbol, {dr('(rs - np * (np + 1) / 2) / NULLIF(np * nn, 0)')} AS auc,
+       CAST(np AS BIGINT) AS n_pos, CAST(nn AS BIGINT) AS n_neg FROM agg"""
+    feats = ["open", "high", "low", "close", "volume", "return_1m", "sma_50", "sma_200",
+             "sma_ratio", "volatility_3m", "volatility_12m", "sharpe_3m", "max_drawdown_3m",
+             "avg_volume_3m", "volume_volatility", "lag_ret_1", "lag_ret_5", "lag_ret_10",
+             "skew_3m", "kurt_3m", "price_vs_sma50", "price_vs_sma200"]
+    corr_base = with_ctes(BARS, price_ctes(), label_ctes("price"), SPLIT_CTES) + f""",
+tr AS (SELECT symbol, CAST(target_3m AS DOUBLE) AS y, {", ".join(feats)}
+       FROM splitted WHERE split = 'train'),
+u AS (UNPIVOT tr ON {", ".join(feats)} INTO NAME feature VALUE value),
+corr AS (SELECT symbol, feature, covar_pop(value, y) / NULLIF(stddev_pop(value) * stddev_pop(y), 0) AS corr
+         FROM u WHERE value IS NOT NULL AND y IS NOT NULL GROUP BY symbol, feature)"""
+    q["feature_label_corr"] = corr_base + f"\nSELECT symbol, feature, {rnd('corr')} FROM corr"
+    q["mean_corr"] = corr_base + f"\nSELECT feature, {dr('avg(corr)')} AS mean_corr FROM corr GROUP BY feature"
+    return q
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     bar_cols = ["open", "high", "low", "close", "volume"]
@@ -324,4 +502,5 @@ SELECT symbol, count(*) AS n_samples,
 FROM labelled GROUP BY symbol"""
     q.update(indicator_sqls())
     q.update(macro_sqls())
+    q.update(eval_sqls())
     return q
