@@ -291,3 +291,69 @@ def feature_label_corr(spark, sf_dir):
 def mean_corr(spark, sf_dir):
     train = _labelled_split(spark, sf_dir, with_price=True).where(F.col("split") == "train")
     return round_cols(E.mean_correlation(E.label_correlation(train, CORR_FEATURES)))
+
+
+# ------------------------------------------------------------------ step 7
+from ..operators import fundamentals as FU  # noqa: E402
+from ..sources import statements as ST  # noqa: E402
+
+ALL_ITEMS = sorted({i for _, i, _ in ST.ITEM_SPECS} | {i for _, i, _ in ST.TEXT_ITEMS}
+                   | {r for r, _, _ in FU.RATIOS})
+
+
+def _parsed(spark, sf_dir):
+    return ST.parse_statements(ST.statements_from_orders(spark, sf_dir))
+
+
+@query("statement_items")
+def statement_items(spark, sf_dir):
+    p = _parsed(spark, sf_dir)
+    return round_cols(p.where(F.col("item").isNotNull()))
+
+
+@query("fundamental_ratios")
+def fundamental_ratios(spark, sf_dir):
+    p = _parsed(spark, sf_dir).where(F.col("item").isNotNull())
+    return round_cols(FU.statement_ratios(p))
+
+
+@query("null_ratio_filter")
+def null_ratio_filter(spark, sf_dir):
+    p = _parsed(spark, sf_dir)
+    d = FU.with_ratios(p.where(F.col("item").isNotNull())).unionByName(
+        p.where(F.col("item").isNull()))
+    return round_cols(FU.null_ratios(d))
+
+
+@query("log_scale")
+def log_scale(spark, sf_dir):
+    p = _parsed(spark, sf_dir)
+    d = FU.with_ratios(p.where(F.col("item").isNotNull())).unionByName(
+        p.where(F.col("item").isNull()))
+    return round_cols(FU.log_scale(FU.drop_sparse(d)))
+
+
+@query("statement_dedup")
+def statement_dedup(spark, sf_dir):
+    return FU.fundamentals_long(_parsed(spark, sf_dir)).select(
+        "symbol", "item", "statement").distinct()
+
+
+@query("fundamentals_asof")
+def fundamentals_asof(spark, sf_dir):
+    p = _parsed(spark, sf_dir)
+    long = FU.fundamentals_long(p)
+    bars = B.bars_daily(spark, sf_dir).select(*KEYS)
+    out = FU.asof_fundamentals(bars, long, ST.report_dates(p), ALL_ITEMS)
+    return round_cols(out.select(*KEYS, "fiscal_date", *ALL_ITEMS))
+
+
+@query("quarterly_growth")
+def quarterly_growth(spark, sf_dir):
+    return round_cols(FU.quarterly_growth(spark, _parsed(spark, sf_dir)))
+
+
+@query("first_available_alias")
+def first_available_alias(spark, sf_dir):
+    p = _parsed(spark, sf_dir).where(F.col("item").isNotNull())
+    return round_cols(FU.first_available(spark, p))

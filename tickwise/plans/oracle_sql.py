@@ -471,6 +471,148 @@ corr AS (SELECT symbol, feature, covar_pop(value, y) / NULLIF(stddev_pop(value)
     return q
 
 
+def fundamentals_sqls() -> dict[str, str]:
+    from ..operators.fundamentals import ALIASES, RATIOS
+    from ..sources.statements import ITEM_SPECS, TEXT_ITEMS
+    aggs = ",\n    ".join(
+        f"{expr.replace('1.5D', '1.5::DOUBLE').replace('0.9D', '0.9::DOUBLE')} AS \"{st}__{item}\""
+        for st, item, expr in ITEM_SPECS)
+    raw = "\n  UNION ALL ".join(
+        [f"SELECT symbol, '{st}' AS statement, fiscal_date, '{item}' AS item, \"{st}__{item}\" AS value FROM fa"
+         for st, item, _ in ITEM_SPECS]
+        + [f"SELECT symbol, '{st}', fiscal_date, '{item}', NULL::DOUBLE FROM fa"
+           for st, item, _ in TEXT_ITEMS])
+    pairs = ", ".join(f"('{r}', '{a}', '{b}')" for r, a, b in RATIOS)
+    aliases = ", ".join(f"('{c}', '{x}', {i})" for c, xs in ALIASES for i, x in enumerate(xs))
+    ctes = f"""
+fq AS (
+  SELECT r.r_name AS symbol,
+         CAST(last_day(date_trunc('quarter', o.o_orderdate) + INTERVAL 2 MONTH) AS DATE) AS fiscal_date,
+         o.o_totalprice AS p, o.o_orderstatus AS st, o.o_orderpriority AS pr, c.c_acctbal AS bal
+  FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+),
+fa AS (SELECT symbol, fiscal_date,
+    {aggs}
+  FROM fq GROUP BY symbol, fiscal_date),
+raw AS (
+  {raw}
+),
+rawf AS (SELECT * FROM raw WHERE statement <> 'cashflow' OR fiscal_date >= DATE '1996-01-01'),
+pairs AS (SELECT * FROM (VALUES {pairs}) t(ratio, num, den)),
+have AS (SELECT DISTINCT symbol, statement, item FROM rawf),
+sdates AS (SELECT DISTINCT symbol, statement, fiscal_date FROM rawf),
+rat AS (
+  SELECT d.symbol, d.statement, d.fiscal_date, pr.ratio AS item, nv.value / NULLIF(dv.value, 0) AS value
+  FROM sdates d
+  JOIN pairs pr ON TRUE
+  JOIN have h1 ON h1.symbol = d.symbol AND h1.statement = d.statement AND h1.item = pr.num
+  JOIN have h2 ON h2.symbol = d.symbol AND h2.statement = d.statement AND h2.item = pr.den
+  LEFT JOIN rawf nv ON nv.symbol = d.symbol AND nv.statement = d.statement
+                   AND nv.fiscal_date = d.fiscal_date AND nv.item = pr.num
+  LEFT JOIN rawf dv ON dv.symbol = d.symbol AND dv.statement = d.statement
+                   AND dv.fiscal_date = d.fiscal_date AND dv.item = pr.den
+),
+allrows AS (SELECT * FROM rawf UNION ALL SELECT * FROM rat),
+nd AS (SELECT symbol, statement, count(*) AS n FROM sdates GROUP BY symbol, statement),
+nr AS (
+  SELECT a.symbol, a.statement, a.item, CAST(nd.n - count(a.value) AS DOUBLE) / nd.n AS null_frac
+  FROM allrows a JOIN nd ON nd.symbol = a.symbol AND nd.statement = a.statement
+  GROUP BY a.symbol, a.statement, a.item, nd.n
+),
+kept AS (
+  SELECT a.* FROM allrows a JOIN nr ON nr.symbol = a.symbol AND nr.statement = a.statement
+                                  AND nr.item = a.item
+  WHERE nr.null_frac <= 0.7
+),
+logged AS (
+  SELECT symbol, statement, fiscal_date, item,
+         CASE WHEN max(value) OVER (PARTITION BY symbol, statement, item) > 1e6 AND value > 0
+              THEN ln(1 + value) ELSE value END AS value
+  FROM kept
+),
+ranked AS (
+  SELECT *, CASE statement WHEN 'income' THEN 0 WHEN 'balance' THEN 1 ELSE 2 END AS rk FROM logged
+),
+ded AS (
+  SELECT symbol, statement, fiscal_date, item, value FROM (
+    SELECT *, min(rk) OVER (PARTITION BY symbol, item) AS mrk FROM ranked) WHERE rk = mrk
+),
+alias AS (SELECT * FROM (VALUES {aliases}) t(canonical, item, prio)),
+fav AS (
+  SELECT r.symbol, r.statement, r.fiscal_date, a.canonical, r.item AS source_item, r.value, a.prio,
+         min(a.prio) OVER (PARTITION BY r.symbol, r.statement, a.canonical) AS best
+  FROM rawf r JOIN alias a ON a.item = r.item
+)"""
+    q = {}
+    q["statement_items"] = with_ctes(ctes) + "\n" + select_rounded(
+        "rawf", ["symbol", "statement", "fiscal_date", "item"], ["value"])
+    q["fundamental_ratios"] = with_ctes(ctes) + "\n" + select_rounded(
+        "rat", ["symbol", "statement", "fiscal_date", "item"], ["value"])
+    q["null_ratio_filter"] = with_ctes(ctes) + f"""
+SELECT symbol, statement, item, {dr('null_frac')} AS null_frac, null_frac <= 0.7 AS kept FROM nr"""
+    q["log_scale"] = with_ctes(ctes) + "\n" + select_rounded(
+        "logged", ["symbol", "statement", "fiscal_date", "item"], ["value"])
+    q["statement_dedup"] = with_ctes(ctes) + "\nSELECT DISTINCT symbol, item, statement FROM ded"
+    q["first_available_alias"] = with_ctes(ctes) + f"""
+SELECT symbol, statement, fiscal_date, canonical, source_item, {dr('value')} AS value
+FROM fav WHERE prio = best"""
+    from ..plans.catalog import ALL_ITEMS
+    piv = ", ".join(f"{dr(f'max(CASE WHEN d.item = {chr(39)}{i}{chr(39)} THEN d.value END)')} AS \"{i}\""
+                    for i in ALL_ITEMS)
+    q["fundamentals_asof"] = with_ctes(BARS, ctes) + f""",
+dates AS (SELECT DISTINCT symbol, fiscal_date FROM rawf),
+iv AS (
+  SELECT symbol, fiscal_date, fiscal_date + 90 AS eff_from,
+         coalesce(lead(fiscal_date) OVER (PARTITION BY symbol ORDER BY fiscal_date) + 90,
+                  fiscal_date + 91) AS eff_to
+  FROM dates
+),
+fb AS (
+  SELECT b.symbol, b.date, iv.fiscal_date
+  FROM bars b LEFT JOIN iv ON iv.symbol = b.symbol AND b.date >= iv.eff_from AND b.date < iv.eff_to
+  WHERE b.date >= coalesce((SELECT min(i2.eff_from) FROM iv i2 WHERE i2.symbol = b.symbol), b.date)
+)
+SELECT fb.symbol, fb.date, fb.fiscal_date, {piv}
+FROM fb LEFT JOIN ded d ON d.symbol = fb.symbol AND d.fiscal_date = fb.fiscal_date
+GROUP BY fb.symbol, fb.date, fb.fiscal_date"""
+    wq = "OVER (PARTITION BY symbol ORDER BY fiscal_date)"
+    q["quarterly_growth"] = with_ctes(ctes) + f""",
+inc AS (
+  SELECT symbol, fiscal_date, max(value) FILTER (WHERE item = 'totalRevenue') AS rev,
+         max(value) FILTER (WHERE item = 'netIncome') AS ni
+  FROM rawf WHERE statement = 'income' GROUP BY symbol, fiscal_date
+),
+inc2 AS (SELECT symbol, fiscal_date, ni / NULLIF(rev, 0) AS profit_margin,
+                rev / NULLIF(lag(rev, 4) {wq}, 0) - 1 AS revenue_yoy FROM inc),
+inc3 AS (SELECT *, profit_margin / NULLIF(lag(profit_margin, 4) {wq}, 0) - 1 AS profit_margin_yoy
+         FROM inc2),
+bd AS (SELECT DISTINCT symbol, fiscal_date FROM rawf WHERE statement = 'balance'),
+bv AS (
+  SELECT symbol, fiscal_date,
+         max(value) FILTER (WHERE canonical = 'total_liab') AS tl,
+         max(value) FILTER (WHERE canonical = 'equity') AS eq,
+         max(value) FILTER (WHERE canonical = 'current_assets') AS ca,
+         max(value) FILTER (WHERE canonical = 'current_liabilities') AS cl
+  FROM fav WHERE prio = best AND statement = 'balance' GROUP BY symbol, fiscal_date
+),
+bal AS (
+  SELECT bd.symbol, bd.fiscal_date, tl / NULLIF(eq, 0) AS debt_equity, ca / NULLIF(cl, 0) AS current_ratio
+  FROM bd LEFT JOIN bv ON bv.symbol = bd.symbol AND bv.fiscal_date = bd.fiscal_date
+),
+bal2 AS (
+  SELECT *, debt_equity / NULLIF(lag(debt_equity, 1) {wq}, 0) - 1 AS debt_equity_qoq,
+            debt_equity / NULLIF(lag(debt_equity, 4) {wq}, 0) - 1 AS debt_equity_yoy,
+            current_ratio / NULLIF(lag(current_ratio, 1) {wq}, 0) - 1 AS current_ratio_qoq
+  FROM bal
+),
+g AS (SELECT * FROM inc3 FULL OUTER JOIN bal2 USING (symbol, fiscal_date))
+""" + select_rounded("g", ["symbol", "fiscal_date"], [
+        "profit_margin", "revenue_yoy", "profit_margin_yoy", "debt_equity", "current_ratio",
+        "debt_equity_qoq", "debt_equity_yoy", "current_ratio_qoq"])
+    return q
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     bar_cols = ["open", "high", "low", "close", "volume"]
@@ -503,4 +645,5 @@ FROM labelled GROUP BY symbol"""
     q.update(indicator_sqls())
     q.update(macro_sqls())
     q.update(eval_sqls())
+    q.update(fundamentals_sqls())
     return q
