@@ -117,15 +117,27 @@ def flag(cond: Column) -> Column:
     return F.coalesce(cond, F.lit(False)).cast("int")
 
 
-def det_round(c, digits: int = 6) -> Column:
-    """Round half up as ``floor(x * 10^d + 0.5) / 10^d``.
-
-    Built only from IEEE multiply/add/floor/divide, so any engine that
-    follows IEEE 754 returns the same bits; ``round()`` implementations
-    differ on values that sit exactly on a half (prices divided by 32).
+def det_round(c, digits: int = 6, sig: int | None = 9) -> Column:
+    """Round half up to ``digits`` decimals, or to ``sig`` significant digits
+    once ``|x| >= 10^(sig - digits - 1)``:
+    ``floor(x * 10^d + 0.5) / 10^d``.
+
+    Built only from IEEE multiply/add/floor/divide (and an exact power of
+    ten), so any engine that follows IEEE 754 returns the same bits; the
+    magnitude rule keeps the rounding unit above the last-bit noise of sums
+    taken in a different order, and ``round()`` implementations differ on
+    values that sit exactly on a half (prices divided by 32).
     """
-    scale = float(10 ** digits)
-    return F.floor(col(c) * F.lit(scale) + F.lit(0.5)).cast("double") / F.lit(scale)
+    x = col(c)
+    if sig is None:
+        scale = F.lit(float(10 ** digits))
+        return F.floor(x * scale + F.lit(0.5)).cast("double") / scale
+    ax = F.abs(x)
+    big = float(10 ** (sig - digits - 1))
+    d = F.when(ax >= F.lit(big),
+               F.least(F.lit(digits), F.lit(sig - 1) - F.floor(F.log10(ax)))).otherwise(F.lit(digits))
+    scale = F.pow(F.lit(10.0), d)
+    return F.floor(x * scale + F.lit(0.5)).cast("double") / scale
 
 
 def round_cols(df, digits: int = 6, skip: tuple = ()):

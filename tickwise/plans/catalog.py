@@ -357,3 +357,21 @@ def quarterly_growth(spark, sf_dir):
 def first_available_alias(spark, sf_dir):
     p = _parsed(spark, sf_dir).where(F.col("item").isNotNull())
     return round_cols(FU.first_available(spark, p))
+
+
+# ------------------------------------------------------------------ step 9
+from . import panel as PN  # noqa: E402
+
+
+def build_panel(spark, sf_dir, tail="zero"):
+    """The flagship panel from the landed tables: bars, macro calendar,
+    statements and two benchmarks."""
+    bars = B.bars_daily(spark, sf_dir)
+    macro = M.build_macro(SM.macro_daily(spark, sf_dir), SM.macro_monthly(spark, sf_dir))
+    return PN.feature_panel(bars, macro, _parsed(spark, sf_dir), BENCHMARKS,
+                            items=ALL_ITEMS, tail=tail)
+
+
+@query("feature_panel")
+def feature_panel(spark, sf_dir):
+    return round_cols(build_panel(spark, sf_dir))

@@ -16,9 +16,15 @@ from __future__ import annotations
 R = 6  # rounding digits
 
 
-def dr(expr: str, digits: int = R) -> str:
-    """Half-up rounding from IEEE operations only (same bits as on Spark)."""
-    return f"(floor(({expr}) * 1e{digits} + 0.5::DOUBLE) / 1e{digits})"
+def dr(expr: str, digits: int = R, sig: int | None = 9) -> str:
+    """Half-up rounding from IEEE operations only (same bits as on Spark):
+    ``digits`` decimals, ``sig`` significant digits for large magnitudes."""
+    if sig is None:
+        return f"(floor(({expr}) * 1e{digits} + 0.5::DOUBLE) / 1e{digits})"
+    big = 10 ** (sig - digits - 1)
+    sc = (f"pow(10.0::DOUBLE, CASE WHEN abs({expr}) >= {big} "
+          f"THEN least({digits}, {sig - 1} - floor(log10(abs({expr})))) ELSE {digits} END)")
+    return f"(floor(({expr}) * {sc} + 0.5::DOUBLE) / {sc})"
 
 
 def rnd(expr: str, alias: str | None = None, digits: int = R) -> str:
@@ -471,12 +477,14 @@ corr AS (SELECT symbol, feature, covar_pop(value, y) / NULLIF(stddev_pop(value)
     return q
 
 
-def fundamentals_sqls() -> dict[str, str]:
+def fundamentals_ctes() -> str:
+    """CTEs ``fq .. fav``: statements derived from orders, parsed to long
+    form, ratios, sparse filter, log gate, dedupe and alias resolution."""
     from ..operators.fundamentals import ALIASES, RATIOS
     from ..sources.statements import ITEM_SPECS, TEXT_ITEMS
     aggs = ",\n    ".join(
-        f"{expr.replace('1.5D', '1.5::DOUBLE').replace('0.9D', '0.9::DOUBLE')} AS \"{st}__{item}\""
-        for st, item, expr in ITEM_SPECS)
+        f"{dr(expr, 2, None)}"
+        f" AS \"{st}__{item}\"" for st, item, expr in ITEM_SPECS)
     raw = "\n  UNION ALL ".join(
         [f"SELECT symbol, '{st}' AS statement, fiscal_date, '{item}' AS item, \"{st}__{item}\" AS value FROM fa"
          for st, item, _ in ITEM_SPECS]
@@ -544,6 +552,11 @@ fav AS (
          min(a.prio) OVER (PARTITION BY r.symbol, r.statement, a.canonical) AS best
   FROM rawf r JOIN alias a ON a.item = r.item
 )"""
+    return ctes
+
+
+def fundamentals_sqls() -> dict[str, str]:
+    ctes = fundamentals_ctes()
     q = {}
     q["statement_items"] = with_ctes(ctes) + "\n" + select_rounded(
         "rawf", ["symbol", "statement", "fiscal_date", "item"], ["value"])
@@ -613,6 +626,110 @@ g AS (SELECT * FROM inc3 FULL OUTER JOIN bal2 USING (symbol, fiscal_date))
     return q
 
 
+def technical_ctes(src: str) -> str:
+    """CTEs ``tseq .. tech`` with the nine technical columns over ``src``."""
+    w = win()
+    wr = "OVER (PARTITION BY symbol ORDER BY rn)"
+    r = "(1 - 1.0::DOUBLE / 21)"
+    a1, a2, a3 = "(1.0::DOUBLE / 22)", "(1.0::DOUBLE / 51)", "(2.0::DOUBLE / 16)"
+    return f"""
+tseq AS (
+  SELECT symbol, date, close, high, low, volume,
+         row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn,
+         greatest(coalesce(close - lag(close) {w}, 0), 0) AS gain,
+         greatest(-coalesce(close - lag(close) {w}, 0), 0) AS loss,
+         CASE WHEN close > lag(close) {w} THEN volume
+              WHEN close < lag(close) {w} THEN -volume ELSE 0 END AS step
+  FROM {src}
+),
+trec AS (
+  SELECT symbol, rn, gain AS gn, loss AS ln, 1.0::DOUBLE AS den, close AS es, close AS el,
+         0.0::DOUBLE AS sig FROM tseq WHERE rn = 1
+  UNION ALL
+  SELECT s.symbol, s.rn, s.gain + {r} * p.gn, s.loss + {r} * p.ln, 1 + {r} * p.den,
+         {a1} * s.close + (1 - {a1}) * p.es, {a2} * s.close + (1 - {a2}) * p.el,
+         {a3} * (({a1} * s.close + (1 - {a1}) * p.es) - ({a2} * s.close + (1 - {a2}) * p.el))
+           + (1 - {a3}) * p.sig
+  FROM trec p JOIN tseq s ON s.symbol = p.symbol AND s.rn = p.rn + 1
+),
+tw1 AS (
+  SELECT *, {gated('avg', 'close', 20)} AS mid, {gated('stddev_samp', 'close', 20)} AS sd,
+         (close - {gated('min', 'low', 21)})
+           / NULLIF({gated('max', 'high', 21)} - {gated('min', 'low', 21)}, 0) * 100 AS k_now,
+         sum(step) {win(frame='ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW')} AS run
+  FROM tseq
+),
+tw2 AS (SELECT *, {gated('avg', 'k_now', 3)} AS d_now FROM tw1),
+tj AS (SELECT t.*, c.gn, c.ln, c.den, c.es, c.el, c.sig FROM tw2 t JOIN trec c USING (symbol, rn)),
+tech AS (
+  SELECT symbol, date,
+    lag(CASE WHEN rn >= 21 THEN 100 * (gn / den) / NULLIF(gn / den + ln / den, 0) END) {wr} AS rsi,
+    lag(es - el) {wr} AS macd, lag(sig) {wr} AS macd_signal, lag(es - el - sig) {wr} AS macd_indicator,
+    lag(mid + 2 * sd) {wr} AS upper_bollinger, lag(mid - 2 * sd) {wr} AS lower_bollinger,
+    lag(d_now) {wr} AS stochastic_d, lag(k_now) {wr} AS stochastic_k, lag(run) {wr} AS obv
+  FROM tj
+)"""
+
+
+def rs_ctes(src: str) -> str:
+    w = win()
+    full = win(frame='ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW')
+    return f"""
+rsj AS (SELECT b.symbol, b.date, b.close, a.close AS ca, e.close AS ce
+        FROM {src} b
+        LEFT JOIN (SELECT date, close FROM bars WHERE symbol = 'AMERICA') a USING (date)
+        LEFT JOIN (SELECT date, close FROM bars WHERE symbol = 'EUROPE') e USING (date)),
+rsf AS (SELECT *, last_value(ca IGNORE NULLS) {full} AS fa, last_value(ce IGNORE NULLS) {full} AS fe
+        FROM rsj),
+rs AS (SELECT symbol, date,
+        (close / NULLIF(lag(close) {w}, 0) - 1) - (fa / NULLIF(lag(fa) {w}, 0) - 1) AS rs_america,
+        (close / NULLIF(lag(close) {w}, 0) - 1) - (fe / NULLIF(lag(fe) {w}, 0) - 1) AS rs_europe
+      FROM rsf)"""
+
+
+PRICE_OUT = ["return_1m", "sma_50", "sma_200", "sma_ratio", "volatility_3m", "volatility_12m",
+             "sharpe_3m", "max_drawdown_3m", "avg_volume_3m", "volume_volatility", "lag_ret_1",
+             "lag_ret_5", "lag_ret_10", "skew_3m", "kurt_3m", "price_vs_sma50", "price_vs_sma200"]
+TECH_OUT = ["rsi", "macd", "macd_signal", "macd_indicator", "upper_bollinger", "lower_bollinger",
+            "stochastic_d", "stochastic_k", "obv"]
+
+
+def panel_sql() -> str:
+    from ..plans.catalog import ALL_ITEMS
+    fund = fundamentals_ctes()
+    piv = ", ".join(f"max(CASE WHEN d.item = '{i}' THEN d.value END) AS \"{i}\"" for i in ALL_ITEMS)
+    base_cols = ["open", "high", "low", "close", "volume"] + PRICE_OUT + ["target_3m_raw"]
+    body = ",".join([BARS, price_ctes(), label_ctes("price"), MACRO_CTES, fund, f"""
+dates AS (SELECT DISTINCT symbol, fiscal_date FROM rawf),
+iv AS (
+  SELECT symbol, fiscal_date, fiscal_date + 90 AS eff_from,
+         coalesce(lead(fiscal_date) OVER (PARTITION BY symbol ORDER BY fiscal_date) + 90,
+                  fiscal_date + 91) AS eff_to
+  FROM dates
+),
+trimmed AS (
+  SELECT l.*, iv.fiscal_date AS fdate
+  FROM labelled l LEFT JOIN iv ON iv.symbol = l.symbol AND l.date >= iv.eff_from AND l.date < iv.eff_to
+  WHERE l.date >= coalesce((SELECT min(i2.eff_from) FROM iv i2 WHERE i2.symbol = l.symbol), l.date)
+),
+fund AS (
+  SELECT t.symbol, t.date, {piv}
+  FROM trimmed t LEFT JOIN ded d ON d.symbol = t.symbol AND d.fiscal_date = t.fdate
+  GROUP BY t.symbol, t.date
+)""", technical_ctes("trimmed"), rs_ctes("trimmed"), """
+final AS (
+  SELECT t.*, m.* EXCLUDE (date), f.* EXCLUDE (symbol, date), x.* EXCLUDE (symbol, date),
+         r.* EXCLUDE (symbol, date)
+  FROM trimmed t LEFT JOIN macro m ON m.date = t.date
+  JOIN fund f ON f.symbol = t.symbol AND f.date = t.date
+  JOIN tech x ON x.symbol = t.symbol AND x.date = t.date
+  JOIN rs r ON r.symbol = t.symbol AND r.date = t.date
+)"""])
+    cols = base_cols + VIXC + CPIC + YLDC + list(ALL_ITEMS) + TECH_OUT + ["rs_america", "rs_europe"]
+    sel = ", ".join(["symbol", "date", "target_3m"] + [f'{dr(chr(34) + c + chr(34))} AS "{c}"' for c in cols])
+    return "WITH RECURSIVE " + body + f"\nSELECT {sel} FROM final"
+
+
 def build() -> dict[str, str]:
     q: dict[str, str] = {}
     bar_cols = ["open", "high", "low", "close", "volume"]
@@ -646,4 +763,5 @@ FROM labelled GROUP BY symbol"""
     q.update(macro_sqls())
     q.update(eval_sqls())
     q.update(fundamentals_sqls())
+    q["feature_panel"] = panel_sql()
     return q

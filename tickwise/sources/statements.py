@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import det_round
 from .tables import read_table
 
 # Statement names in precedence order (first wins on
@@ -40,14 +41,14 @@ ITEM_SPECS = (
     ("income", "grossProfit", "sum(p) FILTER (WHERE st <> 'O')"),
     ("income", "orderCount", "CAST(count(*) AS DOUBLE)"),
     ("income", "extraordinaryItems", "sum(p) FILTER (WHERE p > 498500)"),
-    ("balance", "totalAssets", "sum(p) * 1.5D"),
+    ("balance", "totalAssets", "sum(p + greatest(bal, 0))"),
     ("balance", "totalLiabilities", "sum(p) FILTER (WHERE pr = '1-URGENT')"),
     ("balance", "totalShareholderEquity", "sum(p) FILTER (WHERE pr <> '1-URGENT')"),
     ("balance", "totalCurrentAssets", "sum(p) FILTER (WHERE pr IN ('1-URGENT', '2-HIGH'))"),
     ("balance", "totalCurrentLiabilities", "sum(bal)"),
     ("balance", "treasuryStock", "sum(p) FILTER (WHERE p > 499000)"),
     ("cashflow", "operatingCashflow", "sum(p) FILTER (WHERE st <> 'O')"),
-    ("cashflow", "netIncome", "sum(p) FILTER (WHERE st = 'F') * 0.9D"),
+    ("cashflow", "netIncome", "sum(p) FILTER (WHERE st = 'F' AND pr <> '1-URGENT')"),
     ("cashflow", "capitalExpenditures", "max(p) FILTER (WHERE pr = '5-LOW')"),
     ("cashflow", "dividendPayout", "sum(p) FILTER (WHERE p > 498500 AND pr <> '5-LOW')"),
 )
@@ -73,7 +74,9 @@ def statements_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.last_day(F.add_months(F.trunc(F.to_date("o_orderdate"), "quarter"), 2)).alias("fd"),
         F.col("o_totalprice").alias("p"), F.col("o_orderstatus").alias("st"),
         F.col("o_orderpriority").alias("pr"), F.col("c_acctbal").alias("bal"))
-    aggs = [F.expr(expr).alias(f"{st}__{item}") for st, item, expr in ITEM_SPECS]
+    # statements report currency amounts in cents
+    aggs = [det_round(F.expr(expr), 2, sig=None).alias(f"{st}__{item}")
+            for st, item, expr in ITEM_SPECS]
     q = o.groupBy("symbol", "fd").agg(*aggs)
 
     def body(statement: str):
