@@ -19,8 +19,8 @@ def rsi(df: DataFrame, window: int = 21, key="symbol", order="date",
         out: str = "rsi") -> DataFrame:
     """Relative strength index from adjusted EWMs (com = window-1,
     min_periods = window) of gains and losses; a missing first change counts
-    as 0 (P8).  ``100*g/(g+l)`` equals ``100 - 100/(1+g/l)``, is 100 when
-    there are no losses and NULL when there is no movement at all."""
+    as 0 (P8).  ``100 - 100/(1+g/l)``; 100 when there are no losses (g/l is
+    +inf in pandas) and NULL when there is no movement at all."""
     w = panel_window(key, order)
     dlt = F.col("close") - F.lag("close", 1).over(w)
     d = (df.withColumn("_gain", F.when(dlt > 0, dlt).otherwise(F.lit(0.0)))
@@ -29,7 +29,10 @@ def rsi(df: DataFrame, window: int = 21, key="symbol", order="date",
                  key=key, order=order)
     d = ewm_mean(d, "_loss", "_l", com=window - 1, adjust=True, min_periods=window,
                  key=key, order=order)
-    raw = safe_div(F.lit(100.0) * F.col("_g"), F.col("_g") + F.col("_l"))
+    g, lo = F.col("_g"), F.col("_l")
+    raw = (F.when(g + lo == 0, F.lit(None).cast("double"))
+            .when(lo == 0, F.lit(100.0))
+            .otherwise(F.lit(100.0) - F.lit(100.0) / (F.lit(1.0) + safe_div(g, lo))))
     return d.withColumn(out, shift(raw, 1, w)).drop("_gain", "_loss", "_g", "_l")
 
 

@@ -375,3 +375,33 @@ def build_panel(spark, sf_dir, tail="zero"):
 @query("feature_panel")
 def feature_panel(spark, sf_dir):
     return round_cols(build_panel(spark, sf_dir))
+
+
+# ------------------------------------------------------------------ step 12
+from ..operators import train as T  # noqa: E402
+
+# Small fixed boosting budget for the registered query (the search space of
+# the reference is in tickwise.operators.train.SEARCH_SPACE).
+GBT_PARAMS = {"maxIter": 20, "stepSize": 0.1, "maxDepth": 4, "minInstancesPerNode": 3,
+              "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "minInfoGain": 0.0}
+
+
+def split_panel(spark, sf_dir):
+    """Training panel (tail labels NULL, not 0), split, checkpointed once."""
+    from ..session import ensure_checkpoint_dir
+    ensure_checkpoint_dir(spark)
+    panel = S.temporal_split(build_panel(spark, sf_dir, tail="null"), SPLIT_DATE)
+    return panel.checkpoint(eager=True)
+
+
+@query("gbt_scores")
+def gbt_scores(spark, sf_dir):
+    panel = split_panel(spark, sf_dir)
+    feats = PN.feature_columns(panel)
+    train = T.training_frame(panel, feats)
+    feats = T.usable_features(train, feats)
+    model = T.fit_gbt(train, feats, GBT_PARAMS, checkpoint=False)
+    cut = T.tuned_cutoffs(model, train, feats)
+    test = (panel.where((F.col("split") == "test") & F.col("target_3m").isNotNull())
+            .withColumn("label", F.col("target_3m").cast("double")))
+    return round_cols(T.scores_with_cutoff(model, test, feats, cut))

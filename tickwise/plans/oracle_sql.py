@@ -186,7 +186,9 @@ rec AS (
 ),
 raw AS (
   SELECT symbol, date, rn,
-         CASE WHEN rn >= {window} THEN 100 * (gn / den) / NULLIF(gn / den + ln / den, 0) END AS v
+         CASE WHEN rn >= {window} THEN
+           CASE WHEN gn / den + ln / den = 0 THEN NULL WHEN ln / den = 0 THEN 100.0::DOUBLE
+                ELSE 100 - 100 / (1 + (gn / den) / (ln / den)) END END AS v
   FROM rec
 )"""]) + f"""
 SELECT symbol, date, {dr('lag(v) OVER (PARTITION BY symbol ORDER BY rn)')} AS rsi FROM raw"""
@@ -663,7 +665,9 @@ tw2 AS (SELECT *, {gated('avg', 'k_now', 3)} AS d_now FROM tw1),
 tj AS (SELECT t.*, c.gn, c.ln, c.den, c.es, c.el, c.sig FROM tw2 t JOIN trec c USING (symbol, rn)),
 tech AS (
   SELECT symbol, date,
-    lag(CASE WHEN rn >= 21 THEN 100 * (gn / den) / NULLIF(gn / den + ln / den, 0) END) {wr} AS rsi,
+    lag(CASE WHEN rn >= 21 THEN
+          CASE WHEN gn / den + ln / den = 0 THEN NULL WHEN ln / den = 0 THEN 100.0::DOUBLE
+               ELSE 100 - 100 / (1 + (gn / den) / (ln / den)) END END) {wr} AS rsi,
     lag(es - el) {wr} AS macd, lag(sig) {wr} AS macd_signal, lag(es - el - sig) {wr} AS macd_indicator,
     lag(mid + 2 * sd) {wr} AS upper_bollinger, lag(mid - 2 * sd) {wr} AS lower_bollinger,
     lag(d_now) {wr} AS stochastic_d, lag(k_now) {wr} AS stochastic_k, lag(run) {wr} AS obv
