@@ -78,25 +78,32 @@ def with_ratios(long: DataFrame) -> DataFrame:
     return long.unionByName(statement_ratios(long))
 
 
+def _with_null_frac(long: DataFrame) -> DataFrame:
+    """Add ``_frac``: share of the statement's quarters in which the row's
+    item is missing.  Window counts only (partitioned by symbol and
+    statement), no self-join: ``_n`` = number of quarters of the statement,
+    ``_nn`` = non-null values of the item."""
+    st = Window.partitionBy("symbol", "statement")
+    d = long.withColumn("_dr", F.dense_rank().over(st.orderBy("fiscal_date")))
+    d = d.withColumn("_n", F.max("_dr").over(st))
+    d = d.withColumn("_nn", F.count("value").over(Window.partitionBy("symbol", "statement", "item")))
+    return d.withColumn("_frac", (F.col("_n") - F.col("_nn")).cast("double") / F.col("_n"))
+
+
 def null_ratios(long: DataFrame, threshold: float = NULL_THRESHOLD) -> DataFrame:
     """P10 report: ``(symbol, statement, item, null_frac, kept)``; the share
     of a statement's quarters in which the item is missing, kept when it is
     not above ``threshold``."""
-    n_dates = (long.select("symbol", "statement", "fiscal_date").distinct()
-               .groupBy("symbol", "statement").agg(F.count(F.lit(1)).alias("_n")))
-    stats = (long.where(F.col("item").isNotNull())
-             .groupBy("symbol", "statement", "item")
-             .agg(F.count("value").alias("_nn")))
-    d = stats.join(n_dates, ["symbol", "statement"])
-    frac = (F.col("_n") - F.col("_nn")).cast("double") / F.col("_n")
-    return d.select("symbol", "statement", "item", frac.alias("null_frac"),
-                    (frac <= F.lit(threshold)).alias("kept"))
+    d = _with_null_frac(long).where(F.col("item").isNotNull())
+    return (d.groupBy("symbol", "statement", "item").agg(F.first("_frac").alias("null_frac"))
+             .withColumn("kept", F.col("null_frac") <= F.lit(threshold)))
 
 
 def drop_sparse(long: DataFrame, threshold: float = NULL_THRESHOLD) -> DataFrame:
-    """P10: keep only items that pass :func:`null_ratios`."""
-    keep = null_ratios(long, threshold).where("kept").select("symbol", "statement", "item")
-    return long.join(keep, ["symbol", "statement", "item"], "left_semi")
+    """P10: keep only items missing in at most ``threshold`` of the quarters."""
+    d = _with_null_frac(long)
+    return (d.where(F.col("item").isNotNull() & (F.col("_frac") <= F.lit(threshold)))
+             .drop("_dr", "_n", "_nn", "_frac"))
 
 
 def log_scale(long: DataFrame, threshold: float = LOG_THRESHOLD) -> DataFrame:

@@ -64,35 +64,34 @@ def ewm_mean(df: DataFrame, value: str, out: str, *, com: float | None = None,
     w = panel_window(key, order)
     keys = [key] if isinstance(key, str) else list(key)
     t, blk, loc = f"_{out}_t", f"_{out}_blk", f"_{out}_loc"
-    d = (df.withColumn(t, F.row_number().over(w) - 1)
-           .withColumn(blk, F.floor(F.col(t) / F.lit(B)))
-           .withColumn(loc, F.col(t) - F.col(blk) * F.lit(B)))
+    d = df.withColumns({t: F.row_number().over(w) - 1})
+    d = d.withColumns({blk: F.floor(F.col(t) / F.lit(B)),
+                       loc: F.col(t) - F.floor(F.col(t) / F.lit(B)) * F.lit(B)})
     wb = (Window.partitionBy(*keys, blk).orderBy(order)
           .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     decay = F.pow(F.lit(r), F.col(loc))              # r^loc
     grow = F.pow(F.lit(r), -F.col(loc))              # r^-loc
+    carry = F.pow(F.lit(r), F.col(loc) + 1)          # weight of the carried value
     x = F.col(value)
-    prev_end = (w.rowsBetween(Window.unboundedPreceding, -1))
+    prev_end = w.rowsBetween(Window.unboundedPreceding, -1)
     is_end = F.col(loc) == F.lit(B - 1)
+
+    def carried(c):
+        return F.coalesce(F.last(F.when(is_end, F.col(c)), ignorenulls=True).over(prev_end),
+                          F.lit(0.0))
     if adjust:
         num_l, den_l = f"_{out}_nl", f"_{out}_dl"
-        d = (d.withColumn(num_l, decay * F.sum(x * grow).over(wb))
-              .withColumn(den_l, decay * F.sum(grow).over(wb)))
-        carry = F.pow(F.lit(r), F.col(loc) + 1)
-        pn = F.last(F.when(is_end, F.col(num_l)), ignorenulls=True).over(prev_end)
-        pd_ = F.last(F.when(is_end, F.col(den_l)), ignorenulls=True).over(prev_end)
-        num = F.col(num_l) + carry * F.coalesce(pn, F.lit(0.0))
-        den = F.col(den_l) + carry * F.coalesce(pd_, F.lit(0.0))
-        val = num / den
+        d = d.withColumns({num_l: decay * F.sum(x * grow).over(wb),
+                           den_l: decay * F.sum(grow).over(wb)})
+        val = ((F.col(num_l) + carry * carried(num_l))
+               / (F.col(den_l) + carry * carried(den_l)))
         tmp = [num_l, den_l]
     else:
         loc_l = f"_{out}_yl"
         b = F.when(F.col(t) == 0, F.lit(1.0)).otherwise(F.lit(a))
-        d = d.withColumn(loc_l, decay * F.sum(b * x * grow).over(wb))
-        carry = F.pow(F.lit(r), F.col(loc) + 1)
-        py = F.last(F.when(is_end, F.col(loc_l)), ignorenulls=True).over(prev_end)
-        val = F.col(loc_l) + carry * F.coalesce(py, F.lit(0.0))
+        d = d.withColumns({loc_l: decay * F.sum(b * x * grow).over(wb)})
+        val = F.col(loc_l) + carry * carried(loc_l)
         tmp = [loc_l]
     if min_periods > 1:
         val = F.when(F.col(t) + 1 >= F.lit(min_periods), val)
-    return d.withColumn(out, val).drop(t, blk, loc, *tmp)
+    return d.withColumns({out: val}).drop(t, blk, loc, *tmp)

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import round_cols
+from ..session import materialize
 from ..operators import labels as L
 from ..operators import price as P
 from ..sources import bars as B
@@ -302,7 +303,9 @@ ALL_ITEMS = sorted({i for _, i, _ in ST.ITEM_SPECS} | {i for _, i, _ in ST.TEXT_
 
 
 def _parsed(spark, sf_dir):
-    return ST.parse_statements(ST.statements_from_orders(spark, sf_dir))
+    """Parsed statements, materialised once: every fundamentals operator
+    reads them in several branches."""
+    return materialize(ST.parse_statements(ST.statements_from_orders(spark, sf_dir)))
 
 
 @query("statement_items")
@@ -365,9 +368,11 @@ from . import panel as PN  # noqa: E402
 
 def build_panel(spark, sf_dir, tail="zero"):
     """The flagship panel from the landed tables: bars, macro calendar,
-    statements and two benchmarks."""
-    bars = B.bars_daily(spark, sf_dir)
-    macro = M.build_macro(SM.macro_daily(spark, sf_dir), SM.macro_monthly(spark, sf_dir))
+    statements and two benchmarks.  The three small inputs are materialised
+    once (each feeds several branches of the plan)."""
+    bars = materialize(B.bars_daily(spark, sf_dir))
+    macro = materialize(M.build_macro(SM.macro_daily(spark, sf_dir),
+                                      SM.macro_monthly(spark, sf_dir)))
     return PN.feature_panel(bars, macro, _parsed(spark, sf_dir), BENCHMARKS,
                             items=ALL_ITEMS, tail=tail)
 

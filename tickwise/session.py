@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every tickwise plan relies on.  AQE re-plans joins with runtime
 # sizes (a side is broadcast only when its measured size is below the
@@ -38,6 +38,10 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("TICKWISE_DRIVER_MEMORY", "8g"))
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or 8))
+        # per-symbol window stages are CPU-heavy over few rows: let AQE keep
+        # one partition per busy key instead of merging them into one task
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "16k")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for k, v in DEFAULTS.items():
         builder = builder.config(k, v)
@@ -47,6 +51,16 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     return spark
 
 
+def materialize(df: DataFrame) -> DataFrame:
+    """Write a small, reused intermediate (bars, parsed statements, the macro
+    calendar) to the session's reliable checkpoint directory and read it
+    back: every branch that uses it scans the checkpoint instead of
+    re-planning it from the raw tables, and a lost executor re-reads files
+    rather than recomputing the lineage."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply :data:`DEFAULTS` where the session leaves them unset."""
     for k, v in DEFAULTS.items():

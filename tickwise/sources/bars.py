@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.joins import broadcast_if_small
 from .tables import read_table
 
 BAR_SCHEMA = T.StructType([
@@ -53,8 +54,9 @@ def supplier_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``s_suppkey -> symbol`` (the supplier's region name).
 
     nation (25 rows) and region (5 rows) have a fixed size, so they are
-    broadcast explicitly; the supplier side is left to the planner, which
-    broadcasts it only while its measured size is under the threshold.
+    broadcast explicitly.  The supplier mapping grows with the data: it is
+    broadcast to the line-item scan only when a count shows it is small
+    (:func:`broadcast_if_small`); beyond that the join shuffles on the key.
     """
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
@@ -84,6 +86,7 @@ def bars_daily(spark: SparkSession, sf_dir: str, symbols: list[str] | None = Non
     sup = supplier_symbols(spark, sf_dir)
     if symbols is not None:
         sup = sup.where(F.col("symbol").isin(list(symbols)))
+    sup = broadcast_if_small(sup, bound=read_table(spark, sf_dir, "supplier").select("s_suppkey"))
     trades = li.join(sup, li.l_suppkey == sup.s_suppkey)
     px = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     return build_bars(

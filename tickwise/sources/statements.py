@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import det_round
+from ..functions.joins import broadcast_if_small
 from .tables import read_table
 
 # Statement names in precedence order (first wins on
@@ -61,14 +62,15 @@ def statements_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     quarter (quarter-end fiscal date), with numbers rendered as strings and
     missing numbers as ``"None"``.  One grouped aggregate over orders; the
     dimension tables region (5 rows) and nation (25 rows) are broadcast, the
-    customer side is left to the planner's size check."""
+    customer mapping only after a count shows it is small."""
     region = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     nation = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
     cust = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     orders = read_table(spark, sf_dir, "orders").select(
         "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority")
     nr = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
-    cr = cust.join(F.broadcast(nr), cust.c_nationkey == nr.n_nationkey)
+    cr = broadcast_if_small(cust.join(F.broadcast(nr), cust.c_nationkey == nr.n_nationkey),
+                            bound=cust.select("c_custkey"))
     o = orders.join(cr, orders.o_custkey == cr.c_custkey).select(
         F.col("r_name").alias("symbol"),
         F.last_day(F.add_months(F.trunc(F.to_date("o_orderdate"), "quarter"), 2)).alias("fd"),
