@@ -1,0 +1,6 @@
+"""Structured Streaming entry points.
+
+The reference has no streaming input (its sources are bounded downloads up
+to "today"), so nothing lives here yet; bars for a stream would reuse
+:func:`tickwise.sources.bars.build_bars` inside a watermarked aggregation.
+"""
