@@ -16,18 +16,26 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.joins import broadcast_if_small
+
 
 def interval_join(points: DataFrame, intervals: DataFrame, key: str | list[str],
                   point_col: str, start_col: str, end_col: str, how: str = "left",
-                  bucket: str = "month") -> DataFrame:
+                  bucket: str = "month", small_intervals: bool = False) -> DataFrame:
     """Join ``points`` to non-overlapping ``intervals`` on ``key`` with
-    ``start <= point < end`` (dates).  ``end`` must be non-null."""
+    ``start <= point < end`` (dates).  ``end`` must be non-null.
+
+    ``small_intervals=True`` broadcasts the exploded interval side when a
+    count shows it is small (quarterly statements: symbols x months), so the
+    point side keeps its partitioning and is not shuffled."""
     keys = [key] if isinstance(key, str) else list(key)
     step = F.expr(f"INTERVAL 1 {bucket.upper()}")
     first_b = F.trunc(F.col(start_col), bucket)
     last_b = F.trunc(F.date_sub(F.col(end_col), 1), bucket)
     iv = intervals.where(F.col(end_col) > F.col(start_col)).withColumn(
         "_bk", F.explode(F.sequence(first_b, last_b, step)))
+    if small_intervals:
+        iv = broadcast_if_small(iv)
     pts = points.withColumn("_bk", F.trunc(F.col(point_col), bucket))
     cond = [pts[k] == iv[k] for k in keys] + [
         pts["_bk"] == iv["_bk"],

@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.columns import pct_change, safe_div
+from ..functions.joins import broadcast_if_small
 from ..sources.statements import STATEMENTS
 from .asof import interval_join
 
@@ -183,10 +184,12 @@ def asof_fundamentals(bars: DataFrame, long: DataFrame, dates: DataFrame,
                             .otherwise(F.col("eff_to"))).drop("_end"))
     wide = quarterly_wide(long, dates, items)
     ivw = iv.join(wide, ["symbol", "fiscal_date"], "left")
-    out = interval_join(bars, ivw, "symbol", "date", "eff_from", "eff_to", how="left")
+    out = interval_join(bars, ivw, "symbol", "date", "eff_from", "eff_to", how="left",
+                        small_intervals=True)
     out = out.drop("eff_from", "eff_to")
     if trim:
-        first = iv.groupBy("symbol").agg(F.min("eff_from").alias("_first"))
+        # one row per symbol: broadcast once its count is known to be small
+        first = broadcast_if_small(iv.groupBy("symbol").agg(F.min("eff_from").alias("_first")))
         out = (out.join(first, "symbol", "left")
                   .where(F.col("_first").isNull() | (F.col("date") >= F.col("_first")))
                   .drop("_first"))

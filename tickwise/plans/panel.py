@@ -18,6 +18,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ffill, panel_window
+from ..functions.joins import broadcast_if_small
+from ..session import materialize
 from ..operators import fundamentals as FU
 from ..operators.indicators import technical_indicators
 from ..operators.labels import yearly_quantile_label
@@ -32,24 +34,34 @@ def feature_panel(bars: DataFrame, macro: DataFrame | None = None,
                   statements: DataFrame | None = None, benchmarks=(),
                   bench_bars: DataFrame | None = None, items: list[str] | None = None,
                   tail: str = "zero", fill_raw_target: bool = False,
-                  delay_days: int = FU.DELAY_DAYS, carry_last: bool = False) -> DataFrame:
+                  delay_days: int = FU.DELAY_DAYS, carry_last: bool = False,
+                  checkpoint_aligned: bool = True) -> DataFrame:
     """Build the panel.  ``statements`` are parsed statement rows
     (:func:`tickwise.sources.statements.parse_statements`); ``bench_bars``
     defaults to ``bars``.  ``fill_raw_target=True`` also forward-fills the
     raw forward return into the tail, as the reference's whole-frame fill
-    does (off by default: it leaks a stale value into the label input)."""
+    does (off by default: it leaks a stale value into the label input).
+
+    ``checkpoint_aligned`` writes the aligned, trimmed panel (steps 1-3) to
+    the reliable checkpoint directory before the indicator block: the rest
+    of the plan then starts from a file scan instead of the whole lineage,
+    which keeps analysis and adaptive re-planning cheap and makes a lost
+    executor re-read files instead of recomputing the feature windows."""
     w = panel_window()
     d = price_features(bars)
     d = yearly_quantile_label(d, tail=tail)
     fill = list(PRICE_FEATURES) + (["target_3m_raw"] if fill_raw_target else [])
     d = d.select(*[ffill(c, w).alias(c) if c in fill else F.col(c) for c in d.columns])
     if macro is not None:
-        d = d.join(macro, "date", "left")
+        # one row per calendar day: broadcast once its count is known to be small
+        d = d.join(broadcast_if_small(macro), "date", "left")
     if statements is not None:
         long = FU.fundamentals_long(statements)
         d = FU.asof_fundamentals(d, long, report_dates(statements), items,
                                  delay_days=delay_days, carry_last=carry_last)
         d = d.drop("fiscal_date")
+    if checkpoint_aligned:
+        d = materialize(d)
     d = technical_indicators(d)
     if benchmarks:
         src = bench_bars if bench_bars is not None else bars
