@@ -59,3 +59,15 @@ def test_write_features(spark):
     T.write_features(panel, path)
     back = spark.read.parquet(path)
     assert back.count() == panel.count() and "symbol" in back.columns
+
+
+def test_per_symbol_and_pooled_report(spark):
+    panel = _panel(spark, n=120)
+    feats = ["x1", "x2"]
+    models = T.fit_per_symbol(T.training_frame(panel, feats), feats, {"maxIter": 2, "maxDepth": 2})
+    assert sorted(models) == ["A", "B"]
+    cells, corr = T.pooled_report(_panel(spark), feats, {"maxIter": 2, "maxDepth": 2})
+    c = cells.toPandas()
+    assert len(c) == 12 and int(c[c.symbol == "ALL"].n.sum()) == 2 * 60
+    m = {r["feature"]: r["mean_corr"] for r in corr.collect()}
+    assert m["x1"] > 0.5

@@ -170,6 +170,34 @@ def scores_with_cutoff(model: PipelineModel, test: DataFrame, features: list[str
                    .fillna({"threshold": 0.5}), "threshold").drop("threshold")
 
 
+def fit_per_symbol(train: DataFrame, features: list[str], params: dict | None = None,
+                   weight: str | None = "weight") -> dict[str, PipelineModel]:
+    """M8 (reference mode): one model per symbol, for a handful of symbols.
+    The symbol list is collected (one row per symbol); each fit is a Spark
+    job on that symbol's rows.  The pooled :func:`fit_gbt` is the default."""
+    symbols = [r[0] for r in train.select("symbol").distinct().collect()]
+    return {s: fit_gbt(train.where(F.col("symbol") == s), features, params, weight)
+            for s in sorted(symbols)}
+
+
+def pooled_report(panel: DataFrame, features: list[str], params: dict | None = None,
+                  split_col: str = "split", label: str = "target_3m",
+                  include_raw_target: bool = False):
+    """M9 + A4 + A5/A6: the reference's second pass -- fixed parameters, no
+    recency weights (positive-class scale kept), cut-off 0.5 -- returning
+    ``(confusion cells incl. the sum over symbols, mean feature/label
+    correlation on training rows)``."""
+    from .evaluate import confusion, label_correlation, mean_correlation
+    train = training_frame(panel, features, split_col, label, weighted=False, class_scale=True)
+    model = fit_gbt(train, features, params)
+    test = (panel.where((F.col(split_col) == "test") & F.col(label).isNotNull())
+            .withColumn("label", F.col(label).cast("double")))
+    pred = scores_with_cutoff(model, test, features, 0.5)
+    corr_cols = features + (["target_3m_raw"] if include_raw_target else [])
+    corr_src = panel.where(F.col(split_col) == "train")
+    return confusion(pred), mean_correlation(label_correlation(corr_src, corr_cols, label=label))
+
+
 def save_model(model: PipelineModel, path: str) -> str:
     """Spark ML persistence (overwrite)."""
     model.write().overwrite().save(path)

@@ -99,6 +99,13 @@ def bars_daily(spark: SparkSession, sf_dir: str, symbols: list[str] | None = Non
     )
 
 
+def _hour_of(ts: Column) -> Column:
+    """Hour bucket of a time-zone-free timestamp, kept time-zone free
+    (``date_trunc`` would go through the session time zone)."""
+    return F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts),
+                                F.lit(0), F.lit(0))
+
+
 def bars_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly bars from the event stream table: symbol = event type,
     price = value, volume = number of events, true intra-bar order by
@@ -107,7 +114,7 @@ def bars_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return build_bars(
         ev,
         symbol=F.col("event_type"),
-        ts=F.date_trunc("hour", F.col("ts")),
+        ts=_hour_of(F.col("ts")),
         price=F.col("value"),
         qty=F.lit(1.0),
         order_by=[F.col("ts"), F.col("event_id")],
