@@ -118,3 +118,19 @@ def test_first_available_alias(spark):
     assert fa[("A", "total_liab")] == ("totalLiabilities", 5.0)
     assert fa[("A", "equity")] == ("totalShareholderEquity", None)
     assert fa[("B", "total_liab")] == ("totalLiab", 7.0)
+
+
+def test_cross_statement_ratios_option(spark):
+    docs = _docs(spark, [
+        ("A", "income", [{"fiscalDateEnding": _q(0), "netIncome": "10", "totalRevenue": "50"},
+                         {"fiscalDateEnding": _q(1), "netIncome": "12", "totalRevenue": "60"}]),
+        ("A", "balance", [{"fiscalDateEnding": _q(0), "totalAssets": "100"},
+                          {"fiscalDateEnding": _q(1), "totalAssets": "120"}]),
+    ])
+    p = parse_statements(docs)
+    plain = {r["item"] for r in FU.fundamentals_long(p).collect()}
+    assert "ROA" not in plain and "ProfitMargin" in plain
+    cross = {(r["item"], r["fiscal_date"].isoformat()): r["value"]
+             for r in FU.fundamentals_long(p, cross_statement=True).collect()}
+    assert cross[("ROA", _q(0))] == 0.1 and cross[("ROA", _q(1))] == 0.1
+    assert ("FreeCashFlowMargin", _q(0)) not in cross

@@ -128,14 +128,31 @@ def dedupe_items(long: DataFrame, order: tuple[str, ...] = STATEMENTS) -> DataFr
     return d.where(F.col("_rk") == F.col("_best")).drop("_rk", "_best")
 
 
+def cross_statement_ratios(long: DataFrame, null_threshold: float = NULL_THRESHOLD) -> DataFrame:
+    """Q12 option: ratios whose inputs sit in different statements (ROA =
+    net income / total assets, free-cash-flow margin), computed on the
+    merged raw values of each quarter (statement ``"merged"``); ratios a
+    single statement already produced are not repeated."""
+    merged = dedupe_items(long).withColumn("statement", F.lit("merged"))
+    x = statement_ratios(merged)
+    have = long.where(F.col("item").isNotNull()).select("symbol", "item").distinct()
+    x = x.join(have, ["symbol", "item"], "left_anti")
+    return drop_sparse(x, null_threshold)
+
+
 def fundamentals_long(parsed: DataFrame, null_threshold: float = NULL_THRESHOLD,
-                      log_threshold: float = LOG_THRESHOLD) -> DataFrame:
-    """Steps 1-2 of the module docstring: the final item values per quarter."""
+                      log_threshold: float = LOG_THRESHOLD,
+                      cross_statement: bool = False) -> DataFrame:
+    """Steps 1-2 of the module docstring: the final item values per quarter.
+    ``cross_statement=True`` adds :func:`cross_statement_ratios` (the
+    reference computes a ratio only when one statement holds both inputs)."""
     items = parsed.where(F.col("item").isNotNull())
     d = with_ratios(items)
     d = drop_sparse(d.unionByName(parsed.where(F.col("item").isNull())), null_threshold)
+    if cross_statement:
+        d = d.unionByName(cross_statement_ratios(d, null_threshold))
     d = log_scale(d, log_threshold)
-    return dedupe_items(d)
+    return dedupe_items(d, STATEMENTS + ("merged",))
 
 
 def item_names(long: DataFrame) -> list[str]:
