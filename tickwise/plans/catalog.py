@@ -16,9 +16,19 @@ from pyspark.sql import functions as F
 
 from ..functions.columns import round_cols
 from ..session import materialize
+from . import panel as PN
+from ..operators import evaluate as E
+from ..operators import fundamentals as FU
+from ..operators import indicators as I
 from ..operators import labels as L
+from ..operators import macro as M
 from ..operators import price as P
+from ..operators import relative as RS
+from ..operators import split as S
+from ..operators import train as T
 from ..sources import bars as B
+from ..sources import macro as SM
+from ..sources import statements as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -49,6 +59,14 @@ def bars_hourly(spark, sf_dir):
     return round_cols(B.bars_hourly(spark, sf_dir))
 
 
+@query("hourly_price_features")
+def hourly_price_features(spark, sf_dir):
+    """The same price windows on hourly event bars (zero prices occur:
+    divisions by zero give NULL)."""
+    feats = P.price_features(B.bars_hourly(spark, sf_dir))
+    return round_cols(feats.select(*KEYS, *P.PRICE_FEATURES))
+
+
 # ------------------------------------------------------------------ steps 2-3
 @query("returns_lagged")
 def returns_lagged(spark, sf_dir):
@@ -116,7 +134,6 @@ def label_distribution(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ step 5
-from ..operators import indicators as I  # noqa: E402
 
 
 @query("rsi")
@@ -148,8 +165,6 @@ def obv(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ step 6
-from ..operators import macro as M  # noqa: E402
-from ..sources import macro as SM  # noqa: E402
 
 
 @query("vix_features")
@@ -174,7 +189,6 @@ def macro_calendar(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ step 8
-from ..operators import relative as RS  # noqa: E402
 
 BENCHMARK = "AMERICA"
 BENCHMARKS = ["AMERICA", "EUROPE"]
@@ -195,7 +209,6 @@ def relative_strength(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ step 10
-from ..operators import split as S  # noqa: E402
 
 SPLIT_DATE = "1999-01-01"
 
@@ -232,7 +245,6 @@ def class_balance(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ step 11
-from ..operators import evaluate as E  # noqa: E402
 
 
 def _scored(spark, sf_dir):
@@ -295,8 +307,6 @@ def mean_corr(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ step 7
-from ..operators import fundamentals as FU  # noqa: E402
-from ..sources import statements as ST  # noqa: E402
 
 ALL_ITEMS = sorted({i for _, i, _ in ST.ITEM_SPECS} | {i for _, i, _ in ST.TEXT_ITEMS}
                    | {r for r, _, _ in FU.RATIOS})
@@ -363,7 +373,6 @@ def first_available_alias(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ step 9
-from . import panel as PN  # noqa: E402
 
 
 def build_panel(spark, sf_dir, tail="zero"):
@@ -383,7 +392,6 @@ def feature_panel(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ step 12
-from ..operators import train as T  # noqa: E402
 
 # Small fixed boosting budget for the registered query (the search space of
 # the reference is in tickwise.operators.train.SEARCH_SPACE).

@@ -740,6 +740,8 @@ def build() -> dict[str, str]:
     q["bars_daily"] = with_ctes(BARS) + "\n" + select_rounded("bars", ["symbol", "date"], bar_cols)
     q["bars_hourly"] = with_ctes(BARS_HOURLY) + "\n" + select_rounded(
         "hbars", ["symbol", "date"], bar_cols)
+    q["hourly_price_features"] = with_ctes(BARS_HOURLY, price_ctes("hbars")) + "\n" + \
+        select_rounded("price", ["symbol", "date"], PRICE_OUT)
     q["returns_lagged"] = price_query(["return_1m"])
     q["sma_ratio"] = price_query(["sma_50", "sma_200", "sma_ratio"])
     q["volatility"] = price_query(["volatility_3m", "volatility_12m"])
