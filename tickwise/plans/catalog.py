@@ -247,17 +247,20 @@ def class_balance(spark, sf_dir):
 # ------------------------------------------------------------------ step 11
 
 
-def _scored(spark, sf_dir):
+def _scored(spark, sf_dir, reused=False):
     """Deterministic score for the evaluation operators: the (shifted)
-    stochastic %K rescaled to [0, 1], against the yearly label."""
+    stochastic %K rescaled to [0, 1], against the yearly label.  When the
+    caller reads it twice (train sweep + test predictions) it is
+    materialised once instead of recomputing bars, labels and %K."""
     st = I.stochastic(_labelled_split(spark, sf_dir))
-    return st.select(*KEYS, F.col("target_3m").alias("label"),
-                     (F.col("stochastic_k") / F.lit(100.0)).alias("p"), "split") \
-             .where(F.col("p").isNotNull() & F.col("split").isNotNull())
+    sc = st.select(*KEYS, F.col("target_3m").alias("label"),
+                   (F.col("stochastic_k") / F.lit(100.0)).alias("p"), "split") \
+           .where(F.col("p").isNotNull() & F.col("split").isNotNull())
+    return materialize(sc) if reused else sc
 
 
 def _test_pred(spark, sf_dir):
-    sc = _scored(spark, sf_dir)
+    sc = _scored(spark, sf_dir, reused=True)
     best = E.best_threshold(sc.where(F.col("split") == "train"))
     test = sc.where(F.col("split") == "test").join(best, "symbol")
     return E.predict(test, "threshold")
