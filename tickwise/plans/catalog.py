@@ -2,9 +2,9 @@
 operator of the coverage checklist.  Every query reads the landed tables
 (or data Spark derives from them) in full; nothing is sampled or capped.
 
-Outputs keep their key columns and round doubles to 6 decimals so the
-DuckDB oracle of :mod:`tickwise.plans.oracle_sql` can be compared by
-value hash.
+Outputs keep their key columns and round doubles (6 decimals, 9
+significant digits above 100, IEEE-only arithmetic) so the DuckDB oracle of
+:mod:`tickwise.plans.oracle_sql` can be compared by value hash.
 """
 
 from __future__ import annotations
