@@ -15,7 +15,7 @@ from check_oracle import canon, digest  # noqa: E402
 from tickwise.sources.tables import TABLES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NO_ORACLE = {"gbt_scores"}
+NO_ORACLE = {"gbt_scores", "gbt_search"}
 
 
 @pytest.fixture(scope="module")

@@ -135,12 +135,20 @@ def random_search(train: DataFrame, features: list[str], space: dict = SEARCH_SP
     w = weight if (weight and weight in data.columns) else None
     cands = sample_params(space, n_iter, seed)
 
+    folds = []
+    for k in range(n_splits):
+        fold_train = data.where((F.col("test_fold") < k) | (F.col("test_fold") == -1))
+        fold_test = data.where(F.col("test_fold") == k)
+        # early folds may not have seen some inputs yet (e.g. a macro series
+        # that starts later): a fold's model uses the inputs observed in its
+        # own training rows only
+        fk = usable_features(fold_train, features)
+        folds.append((fold_train, fold_test, fk, [f"{c}_missing" for c in fk]))
+
     def run(params: dict) -> float:
         scores = []
-        for k in range(n_splits):
-            fold_train = data.where((F.col("test_fold") < k) | (F.col("test_fold") == -1))
-            fold_test = data.where(F.col("test_fold") == k)
-            m = gbt_pipeline(features, flags, params, weight=w, seed=seed).fit(fold_train)
+        for fold_train, fold_test, fk, fflags in folds:
+            m = gbt_pipeline(fk, fflags, params, weight=w, seed=seed).fit(fold_train)
             pr = m.transform(fold_test).withColumn("pred", F.col("prediction").cast("int"))
             f1 = f1_score(pr.withColumn("symbol", F.lit("*"))).first()["f1"]
             scores.append(f1)

@@ -421,3 +421,28 @@ def gbt_scores(spark, sf_dir):
     test = (panel.where((F.col("split") == "test") & F.col("target_3m").isNotNull())
             .withColumn("label", F.col("target_3m").cast("double")))
     return round_cols(T.scores_with_cutoff(model, test, feats, cut))
+
+
+# Fixed small search for the registered query: two sampled parameter sets,
+# two pooled walk-forward folds (the full space and budget are parameters of
+# tickwise.operators.train.random_search).
+SEARCH_SPACE_SMALL = {"maxIter": [5, 10], "stepSize": [0.1], "maxDepth": [3, 4],
+                      "subsamplingRate": [0.8], "minInstancesPerNode": [3]}
+
+
+@query("gbt_search")
+def gbt_search(spark, sf_dir):
+    """M4 + M7: random search over walk-forward folds, refit of the best
+    parameters, scores of the test rows at the tuned per-symbol cut-offs."""
+    panel = split_panel(spark, sf_dir)
+    feats = PN.feature_columns(panel)
+    train = T.training_frame(panel, feats)
+    feats = T.usable_features(train, feats)
+    best, _, model = T.random_search(train, feats, SEARCH_SPACE_SMALL, n_iter=2, n_splits=2,
+                                     parallelism=2)
+    cut = T.tuned_cutoffs(model, train, feats)
+    test = (panel.where((F.col("split") == "test") & F.col("target_3m").isNotNull())
+            .withColumn("label", F.col("target_3m").cast("double")))
+    out = T.scores_with_cutoff(model, test, feats, cut)
+    return round_cols(out.withColumn("best_max_iter", F.lit(int(best["maxIter"])))
+                         .withColumn("best_max_depth", F.lit(int(best["maxDepth"]))))
