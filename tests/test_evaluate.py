@@ -73,3 +73,17 @@ def test_correlation_constant_column_is_null(spark):
     assert abs(c["x"] - np.corrcoef(x, y)[0, 1]) < 1e-12
     m = E.mean_correlation(E.label_correlation(df, ["x", "flat"])).collect()
     assert m[0]["feature"] == "x"
+
+
+def test_auc_distributed_prefix_matches_rank_formula(spark):
+    rng = np.random.default_rng(9)
+    n = 3000
+    p = np.round(rng.random(n), 3)           # many ties
+    y = (rng.random(n) < p).astype(int)
+    sc = _scored(spark, p, y).repartition(7)
+    got = E.roc_auc(sc).first()["auc"]
+    import pandas as pd
+    r = pd.Series(p).rank(method="average").to_numpy()
+    P, N = y.sum(), n - y.sum()
+    exp = (r[y == 1].sum() - P * (P + 1) / 2) / (P * N)
+    assert abs(got - exp) < 1e-12
