@@ -104,3 +104,16 @@ def test_recency_weights_and_class_balance(spark):
     sw = S.scale_positive_weights(S.recency_weights(df)).toPandas()
     pos = sw[sw.target_3m == 1]
     assert (pos["weight"] > 1).any()
+
+
+def test_distributed_index_and_pooled_folds(spark):
+    from tickwise.functions.frames import distributed_index
+    days = day_seq(240)
+    df = spark.createDataFrame([(dt.date.fromisoformat(d),) for d in days], "date date")
+    idx = distributed_index(df.repartition(5), "date").toPandas().sort_values("date")
+    assert idx["idx"].tolist() == list(range(240))
+    two = bars_frame(spark, [(s, d, 1.0) for s in ("A", "B") for d in days[:20]])
+    folds = S.pooled_walk_forward_folds(two).toPandas()
+    first = folds.groupby("test_fold")["date"].min().drop(-1).sort_index()
+    assert [d.isoformat() for d in first] == [days[i] for i in (5, 8, 11, 14, 17)]
+    assert folds.groupby("date")["test_fold"].nunique().max() == 1

@@ -54,3 +54,25 @@ def ffill_by_time(df: DataFrame, cols: list[str], order: str = "date",
     out = inner.join(carry, "_bk", "left")
     return out.select(*[F.coalesce(F.col(c), F.col(f"_c_{c}")).alias(c) if c in cols
                         else F.col(c) for c in df.columns])
+
+
+def distributed_index(df: DataFrame, order: str, out: str = "idx") -> DataFrame:
+    """0-based position of each row in ``order`` (distinct values), without
+    moving the table into one partition.
+
+    Rows are range partitioned on ``order`` and numbered inside each slice;
+    a slice's offset is the number of rows in earlier slices, taken from a
+    table with one row per slice.  The slice ids are checkpointed once so
+    every branch reads the same ids.
+    """
+    from ..functions.joins import broadcast_if_small
+    from ..session import materialize
+    ranged = materialize(df.repartitionByRange(order)
+                         .withColumn("_pid", F.spark_partition_id()))
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0))
+                           .alias("_off"))
+    local = F.row_number().over(Window.partitionBy("_pid").orderBy(order)) - 1
+    out_df = ranged.join(broadcast_if_small(offsets), "_pid")
+    return out_df.withColumn(out, (F.col("_off") + local).cast("bigint")).drop("_pid", "_off")

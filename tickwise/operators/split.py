@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import panel_window
+from ..functions.frames import distributed_index
 
 
 def temporal_split(df: DataFrame, split_date: str = "2021-01-01", key="symbol",
@@ -56,12 +57,10 @@ def walk_forward_folds(train: DataFrame, n_splits: int = 5, key="symbol",
 def pooled_walk_forward_folds(train: DataFrame, n_splits: int = 5, order="date") -> DataFrame:
     """M2 for a pooled model: folds cut on the calendar of distinct training
     dates, so no symbol's later dates train another symbol's earlier test
-    fold.  The calendar (one row per date) is numbered once and joined back."""
-    cal = train.select(order).distinct()
-    wc = Window.orderBy(order)
-    cal = cal.withColumn("date_idx", (F.row_number().over(wc) - 1).cast("bigint"))
-    n = F.count(F.lit(1)).over(Window.partitionBy())
-    cal = cal.withColumn("_n", n.cast("bigint"))
+    fold.  The calendar (one row per date) is numbered once without a
+    single-partition window (:func:`distributed_index`) and joined back."""
+    cal = distributed_index(train.select(order).distinct(), order, "date_idx")
+    cal = cal.withColumn("_n", F.lit(cal.count()).cast("bigint"))
     ts = F.floor(F.col("_n") / F.lit(n_splits + 1))
     first = F.col("_n") - F.lit(n_splits) * ts
     cal = cal.withColumn("test_fold", F.when((ts > 0) & (F.col("date_idx") >= first),
