@@ -8,7 +8,9 @@ keeps a checkpoint directory that the cluster already names.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -52,13 +54,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write a small, reused intermediate (bars, parsed statements, the macro
-    calendar) to the session's reliable checkpoint directory and read it
-    back: every branch that uses it scans the checkpoint instead of
-    re-planning it from the raw tables, and a lost executor re-reads files
-    rather than recomputing the lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write a reused intermediate as Parquet into the session's shared
+    checkpoint folder and return a DataFrame that reads it back.
+
+    Every branch scans the file (column pruning and filters reach it), and a
+    lost executor re-reads it instead of recomputing the lineage.  The folder
+    goes when the session's JVM ends."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def tune(spark: SparkSession) -> SparkSession:
@@ -70,19 +77,20 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory of this session.
+    """Return the shared checkpoint folder of this session.
 
-    The directory named by the cluster (``spark.checkpoint.dir`` or an
-    earlier ``setCheckpointDir``) always wins.  Only when none is set -- a
-    local test run -- a fresh scratch directory is created.
+    The folder that the cluster names (``spark.checkpoint.dir`` or an earlier
+    ``setCheckpointDir``) always wins.  Only a single-process local run without
+    one gets a scratch folder; on a cluster that is an error, because the
+    executors could not see a folder of the driver's.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = sc.getConf().get("spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-    else:
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="tickwise-ckpt-"))
+    if sc.getCheckpointDir():
+        return sc.getCheckpointDir()
+    named = sc.getConf().get("spark.checkpoint.dir", None)
+    if not named:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="tickwise-ckpt-")
+    sc.setCheckpointDir(named)
     return sc.getCheckpointDir()
