@@ -19,7 +19,9 @@ from ..session import materialize
 
 RATIO = 0.1
 #: Hosts with fewer pages have no boilerplate: one page holds all its lines.
-MIN_PAGES = 10
+MIN_PAGES = 20
+#: A line on fewer pages is no boilerplate, whatever its share.
+MIN_HELD = 5
 #: Boilerplate lines and hosts that are broadcast; more are joined by a shuffle.
 BROADCAST_LINES = 2_000_000
 BLANK = " \t\r"
@@ -34,7 +36,8 @@ def _key(line: Column) -> Column:
 
 
 def boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
-                ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+                ratio: float = RATIO, min_pages: int = MIN_PAGES,
+                min_held: int = MIN_HELD) -> DataFrame:
     """(host, pages, lines): the hashes of the boilerplate lines of each host.
 
     Lines are compared without the blanks around them; blank lines don't
@@ -45,7 +48,7 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
     filled = F.filter("line", lambda x: F.trim(x, F.lit(BLANK)) != "")
     held = (own.select("host", F.explode(F.array_distinct(F.transform(filled, _key))).alias("key"))
             .groupBy("host", "key").agg(F.count(F.lit(1)).alias("n"))
-            .where(F.col("n") > ratio * min_pages))
+            .where((F.col("n") >= min_held) & (F.col("n") > ratio * min_pages)))
     return (held.join(pages.where(F.col("pages") >= min_pages), "host")
             .where(F.col("n") / F.col("pages") > ratio)
             .groupBy("host", "pages").agg(F.collect_list("key").alias("lines")))
@@ -53,7 +56,7 @@ def boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
 
 def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
                      ratio: float = RATIO, min_pages: int = MIN_PAGES,
-                     out: str = "deduped") -> DataFrame:
+                     min_held: int = MIN_HELD, out: str = "deduped") -> DataFrame:
     """``docs`` plus a struct ``out``: ``n_lines``, ``n_dropped`` and the ``text``
     without the boilerplate lines of its host, its other lines as they were.
 
@@ -61,7 +64,7 @@ def drop_boilerplate(docs: DataFrame, host: str = "source", text: str = "text",
     Pages without a host, or of hosts with fewer than ``min_pages`` pages, lose
     nothing.  Other columns pass through; one named ``out`` is replaced.
     """
-    sets = materialize(boilerplate(docs, host, text, ratio, min_pages)
+    sets = materialize(boilerplate(docs, host, text, ratio, min_pages, min_held)
                        .select(F.col("host").alias("__host"), F.col("lines").alias("__lines")))
     size = sets.agg(F.sum(F.size("__lines")) + F.count(F.lit(1))).first()[0] or 0
     if size <= BROADCAST_LINES:

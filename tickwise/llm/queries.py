@@ -7,7 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, decontaminate, fingerprint, line_dedup, sharding, url_filter)
+from . import (byte_bpe, decontaminate, fingerprint, line_dedup, sharding, simhash,
+               url_filter)
 from .common import read
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -27,6 +28,13 @@ def rank_file(path: str = RANK_FILE) -> bytes:
         return f.read()
 
 
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """SimHash fingerprint and near-duplicate component of each document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words of benchmark windows in each document."""
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -97,6 +105,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op2_decontaminate, op4_url_filter, op5_line_dedup, op6_byte_bpe, op9_fingerprint,
+    op1_simhash, op2_decontaminate, op4_url_filter, op5_line_dedup, op6_byte_bpe, op9_fingerprint,
     op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}
