@@ -7,12 +7,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, decontaminate, fingerprint, line_dedup, sharding, simhash,
-               url_filter)
-from .common import read
+from . import (byte_bpe, decontaminate, fingerprint, language, line_dedup, sharding, simhash,
+               toxicity, url_filter)
+from .common import held_out, read
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
+#: Scores from here on count as toxic.
+TOXIC = 0.3
+
 #: host, path, verdict
 URL_RULES = [
     ("org", "/", "allow"),
@@ -45,6 +48,15 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
                        decontaminate.contaminated().alias("contaminated"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of each document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    members = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    return toxicity.with_score(docs, members, out="score").select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score",
+        (F.col("score") >= TOXIC).cast("int").alias("predicted"))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule and verdict of each page's URL."""
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
@@ -74,6 +86,14 @@ def digests(coded: DataFrame) -> DataFrame:
                         F.sha2("bpe.decoded", 256).alias("decoded_sha256"))
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs)
+    return language.with_language(docs.select("doc_id", "text"), model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), F.col("guess.lang").alias("lang_pred"), "guess.score")
+
+
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketch of each document, of an edit of it, and their likeness."""
     docs = (read(spark, sf_dir, "documents")
@@ -105,6 +125,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_simhash, op2_decontaminate, op4_url_filter, op5_line_dedup, op6_byte_bpe, op9_fingerprint,
+    op1_simhash, op2_decontaminate, op3_toxicity, op4_url_filter, op5_line_dedup,
+    op6_byte_bpe, op7_language, op9_fingerprint,
     op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}
