@@ -11,11 +11,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickwise.llm import byte_bpe, decontaminate, line_dedup, queries
+from tickwise.llm import byte_bpe, decontaminate, line_dedup, queries, simhash, toxicity
 from tickwise.llm.common import bound_batches, read
 from tickwise.session import materialize
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that a classifier trained on ``labels`` calls toxic."""
+    bound_batches(spark)
+    members = toxicity.train(docs, read(spark, sf_dir, "labels"))
+    scored = toxicity.with_score(docs, members, out="__score")
+    return scored.where(F.col("__score") < queries.TOXIC).select(*docs.columns)
+
+
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut each document's lines that are boilerplate of its source."""
     bound_batches(spark)
@@ -24,6 +32,12 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return cut.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group of near-duplicates."""
+    bound_batches(spark)
+    return simhash.one_of_each(docs, simhash.near_duplicates(docs)).select(*docs.columns)
+
+
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold too much of the benchmark."""
     bound_batches(spark)
@@ -40,7 +54,9 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
     ("line_dedup", drop_boilerplate_lines),
+    ("simhash", drop_near_duplicates),
     ("decontaminate", drop_contaminated),
     ("byte_bpe", tokenize),
 ]

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (byte_bpe, decontaminate, fingerprint, language, line_dedup, sharding, simhash,
-               toxicity, url_filter)
+               suffix_dedup, toxicity, url_filter)
 from .common import held_out, read
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -94,6 +94,13 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", held_out("doc_id").alias("held_out"), F.col("guess.lang").alias("lang_pred"), "guess.score")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document without the bytes of repeated 400-byte strings."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.without_repeats(docs).select(
+        "doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256).alias("kept_sha256"))
+
+
 def op9_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sketch of each document, of an edit of it, and their likeness."""
     docs = (read(spark, sf_dir, "documents")
@@ -126,6 +133,6 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_decontaminate, op3_toxicity, op4_url_filter, op5_line_dedup,
-    op6_byte_bpe, op7_language, op9_fingerprint,
+    op6_byte_bpe, op7_language, op8_suffix_dedup, op9_fingerprint,
     op10_sharding)}
 ORACLE_SQL: dict[str, str] = {}

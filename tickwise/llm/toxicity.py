@@ -36,6 +36,8 @@ MEMBERS = 3
 #: Training rows of one member, about: toxic ones, unlabelled ones, bytes of each.
 MAX_TOXIC, MAX_UNLABELLED, MAX_BYTES = 4_000, 12_000, 64 << 20
 BATCH, EPOCHS, STEPS, RATE, DECAY = 1_000, 20, 200, 0.1, 1e-4
+#: A feature of fewer toxic examples tells nothing.
+MIN_TOXIC = 2
 CACHED_WORDS = 300_000
 words_in = regex.compile(r"[^\W\d_]+").findall
 
@@ -134,6 +136,9 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> list[tuple[
             sets[is_toxic].append((np.array(found, np.int32), len(words)))
         if not all(sets):
             return pd.DataFrame({"offset": [], "weights": []})
+        held = np.bincount(np.concatenate([np.unique(f) for f, _ in sets[1]]), minlength=FEATURES)
+        for texts in sets:
+            texts[:] = [(f[held[f] >= MIN_TOXIC], words) for f, words in texts]
         weights, offset = fit(sets[1], sets[0], prior, seed=key[0])
         return pd.DataFrame({"offset": [offset], "weights": [weights.astype(np.float32).tobytes()]})
 
