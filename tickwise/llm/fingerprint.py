@@ -76,7 +76,7 @@ def _next_lower(keys: DataFrame, bits: int) -> DataFrame:
     the lowest.  Each step looks at 16 bits, so no window is larger than that,
     however the keys lie."""
     near = Window.partitionBy("up").orderBy(F.desc("k"))
-    split = keys.select("k", F.shiftright("k", 16).alias("up"))
+    split = keys.select("k", (F.shiftright("k", 16) if bits > 16 else F.lit(0)).alias("up"))
     own = split.withColumn("next", F.lead("k").over(near))
     if bits <= 16:
         return own.select("k", "next")

@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, decontaminate, fingerprint, language, line_dedup, sharding, simhash,
+from . import (byte_bpe, decontaminate, fingerprint, language, line_dedup, oracle, sharding, simhash,
                suffix_dedup, toxicity, url_filter)
 from .common import held_out, read
 
@@ -135,4 +135,4 @@ QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_decontaminate, op3_toxicity, op4_url_filter, op5_line_dedup,
     op6_byte_bpe, op7_language, op8_suffix_dedup, op9_fingerprint,
     op10_sharding)}
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL = oracle.SQL

@@ -76,6 +76,8 @@ def sigmoid(z):
 def fit(toxic: list, unlabelled: list, prior: float, seed: int) -> tuple[np.ndarray, float]:
     """Weights and offset that minimise the non-negative PU risk (logistic
     loss, Adam).  Both lists hold (feature array, number of words) a text."""
+    held = np.bincount(np.concatenate([np.unique(f) for f, _ in toxic]), minlength=FEATURES) >= MIN_TOXIC
+    toxic, unlabelled = ([(f[held[f]], words) for f, words in texts] for texts in (toxic, unlabelled))
     rng = np.random.default_rng(seed)
     theta = np.append(np.zeros(FEATURES), -1.0)
     mean, square, t = np.zeros_like(theta), np.zeros_like(theta), 0
@@ -136,9 +138,6 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> list[tuple[
             sets[is_toxic].append((np.array(found, np.int32), len(words)))
         if not all(sets):
             return pd.DataFrame({"offset": [], "weights": []})
-        held = np.bincount(np.concatenate([np.unique(f) for f, _ in sets[1]]), minlength=FEATURES)
-        for texts in sets:
-            texts[:] = [(f[held[f] >= MIN_TOXIC], words) for f, words in texts]
         weights, offset = fit(sets[1], sets[0], prior, seed=key[0])
         return pd.DataFrame({"offset": [offset], "weights": [weights.astype(np.float32).tobytes()]})
 
