@@ -11,16 +11,13 @@ from tickwise.operators import split as S
 
 
 def test_quantile_interpolation(spark):
-    # forward returns 1, 2, 5 -> 0.6 quantile 2.6 (linear)
-    closes = [1.0, 2.0, 3.0, 6.0]   # horizon 1: 1.0, 0.5, 1.0 ... use explicit raw below
-    df = spark.createDataFrame(
-        [("A", dt.date(2020, 1, i + 1), float(r)) for i, r in enumerate([1, 2, 5])],
-        "symbol string, date date, target_3m_raw double")
-    from pyspark.sql import Window, functions as F
-    q = df.select(F.percentile("target_3m_raw", F.lit(0.6)).over(
-        Window.partitionBy("symbol")).alias("q")).first()["q"]
-    assert abs(q - 2.6) < 1e-12
-    assert closes  # keeps the fixture list documented
+    """The yearly threshold interpolates: returns 1, 0.5 and 2 have 0.6-quantile 1.2."""
+    rows = [("A", d, c) for d, c in zip(day_seq(4, "2019-01-01"), (1.0, 2.0, 3.0, 9.0))]
+    out = L.yearly_quantile_label(bars_frame(spark, rows), horizon=1, keep_threshold=True).toPandas()
+    out = out.sort_values("date")
+    np.testing.assert_allclose(out["target_3m_raw"][:3], [1.0, 0.5, 2.0])
+    np.testing.assert_allclose(out["threshold"], 1.2)
+    assert out["target_3m"].tolist() == [0, 0, 1, 0]
 
 
 def test_tail_labels_zero_and_null(spark):

@@ -71,3 +71,19 @@ def test_per_symbol_and_pooled_report(spark):
     assert len(c) == 12 and int(c[c.symbol == "ALL"].n.sum()) == 2 * 60
     m = {r["feature"]: r["mean_corr"] for r in corr.collect()}
     assert m["x1"] > 0.5
+
+
+def test_default_parameters_split(spark):
+    """The default model grows real trees and tells rows apart."""
+    panel = _panel(spark)
+    train = T.training_frame(panel, ["x1", "x2"])
+    model = T.fit_gbt(train, ["x1", "x2"], T.DEFAULT_PARAMS | {"maxIter": 5})
+    assert all(tree.numNodes > 3 for tree in model.stages[-1].trees)
+    assert T.score(model, train, ["x1", "x2"]).select("p").distinct().count() > 50
+
+
+def test_embargo_drops_the_last_training_rows(spark):
+    panel = _panel(spark)
+    whole, cut = (T.training_frame(panel, ["x1"], embargo_rows=n).groupBy("symbol").agg({"date": "max", "*": "count"}).collect()
+                  for n in (0, 63))
+    assert all(a["count(1)"] - b["count(1)"] == 63 and a["max(date)"] > b["max(date)"] for a, b in zip(sorted(whole), sorted(cut)))

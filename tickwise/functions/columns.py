@@ -50,6 +50,13 @@ def shift(c, k: int, w: WindowSpec) -> Column:
     return F.lag(col(c), k).over(w) if k >= 0 else F.lead(col(c), -k).over(w)
 
 
+def finite(c) -> Column:
+    """The value, or NULL where it is NaN or infinite."""
+    v = F.col(c) if isinstance(c, str) else c
+    v = v.cast("double")
+    return F.when(~F.isnan(v) & (F.abs(v) != F.lit(float("inf"))), v)
+
+
 def ffill(c, w: WindowSpec) -> Column:
     """Forward fill: last non-null value up to and including this row."""
     return F.last(col(c), ignorenulls=True).over(running(w))

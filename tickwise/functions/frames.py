@@ -65,7 +65,6 @@ def distributed_index(df: DataFrame, order: str, out: str = "idx") -> DataFrame:
     table with one row per slice.  The slice ids are checkpointed once so
     every branch reads the same ids.
     """
-    from ..functions.joins import broadcast_if_small
     from ..session import materialize
     ranged = materialize(df.repartitionByRange(order)
                          .withColumn("_pid", F.spark_partition_id()))
@@ -74,5 +73,5 @@ def distributed_index(df: DataFrame, order: str, out: str = "idx") -> DataFrame:
     offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0))
                            .alias("_off"))
     local = F.row_number().over(Window.partitionBy("_pid").orderBy(order)) - 1
-    out_df = ranged.join(broadcast_if_small(offsets), "_pid")
+    out_df = ranged.join(offsets, "_pid")
     return out_df.withColumn(out, (F.col("_off") + local).cast("bigint")).drop("_pid", "_off")

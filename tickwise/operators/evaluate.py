@@ -169,7 +169,6 @@ def roc_auc(scored: DataFrame, key="symbol", label="label", score="p") -> DataFr
     window partition.  The slice ids are written once (checkpoint) so every
     branch sees the same ids.  NULL when a class is absent.
     """
-    from ..functions.joins import broadcast_if_small
     from ..session import materialize
     ties = (scored.where(F.col(score).isNotNull())
             .groupBy(key, F.col(score).alias("_v"))
@@ -185,7 +184,7 @@ def roc_auc(scored: DataFrame, key="symbol", label="label", score="p") -> DataFr
                             .alias("_off"))
     local = (Window.partitionBy("_pid", key).orderBy("_v")
              .rowsBetween(Window.unboundedPreceding, -1))
-    d = ranged.join(broadcast_if_small(offsets), ["_pid", key])
+    d = ranged.join(offsets, ["_pid", key])
     below = F.col("_off") + F.coalesce(F.sum("_n0").over(local), F.lit(0.0))
     contrib = d.select(key, "_n1", "_n0", (F.col("_n1") * (below + F.col("_n0") / 2)).alias("_c"))
     agg = contrib.groupBy(key).agg(F.sum("_c").alias("_s"), F.sum("_n1").alias("_p"),
@@ -199,12 +198,21 @@ def label_correlation(df: DataFrame, features: list[str], key="symbol",
                       label="target_3m") -> DataFrame:
     """Pearson correlation of each feature with the label per symbol,
     pairwise complete; NULL (not an error) for a constant column."""
-    long = df.select(key, F.col(label).cast("double").alias("_y"), *features).unpivot(
-        [key, "_y"], features, "feature", "value")
-    long = long.where(F.col("value").isNotNull() & F.col("_y").isNotNull())
-    return long.groupBy(key, "feature").agg(
-        F.try_divide(F.covar_pop("value", "_y"),
-                     F.stddev_pop("value") * F.stddev_pop("_y")).alias("corr"))
+    y = F.col(label).cast("double")
+
+    def corr(c):
+        both = F.col(c).isNotNull() & y.isNotNull()
+        x = F.when(both, F.col(c).cast("double"))
+        return F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(F.when(both, y)))
+
+    def pairs(c):
+        return F.count(F.when(F.col(c).isNotNull() & y.isNotNull(), 1)) > 0
+
+    # One pass over the rows; only the row of results per symbol is unpivoted.
+    wide = df.groupBy(key).agg(F.array(*[
+        F.when(pairs(c), F.struct(F.lit(c).alias("feature"), corr(c).alias("corr"))) for c in features]).alias("_r"))
+    return (wide.select(key, F.explode("_r").alias("_r")).where(F.col("_r").isNotNull())
+            .select(key, "_r.feature", "_r.corr"))
 
 
 def mean_correlation(corr: DataFrame) -> DataFrame:

@@ -8,11 +8,12 @@ reference drops them before aligning the series.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import diff, panel_window, pct_change, roll, zscore
 from ..functions.frames import densify_daily, ffill_by_time
+from ..session import materialize
 
 VIX_COLS = ("vix", "vix_change_20d", "vix_z20")
 CPI_COLS = ("cpi", "cpi_yoy", "cpi_mom", "cpi_yoy_trend", "cpi_yoy_z")
@@ -78,16 +79,21 @@ def macro_calendar(*frames: DataFrame) -> DataFrame:
     skipped (S8); with no frame at all the result is an empty calendar."""
     present = [f for f in frames if f is not None]
     if not present:
-        raise ValueError("macro_calendar needs at least one frame")
+        spark = SparkSession.active()
+        return spark.createDataFrame([], ", ".join(["date date", *(f"{c} double" for c in MACRO_COLS)]))
     out = present[0]
     for f in present[1:]:
         out = out.join(f, "date", "full_outer")
     cols = [c for c in out.columns if c != "date"]
-    return ffill_by_time(out, cols, "date")
+    return ffill_by_time(materialize(out), cols, "date")
 
 
 def build_macro(daily: DataFrame | None, monthly: DataFrame | None) -> DataFrame:
-    """The reference's macro table from long daily + monthly series."""
+    """The macro table from long daily + monthly series.  A daily table without
+    the VIX series is an error, one without yields is not: their columns are
+    then missing throughout."""
+    if daily is not None and daily.where(F.col("series_id") == "VIX").isEmpty():
+        raise ValueError("the daily series hold no VIX rows")
     vix = vix_features(daily) if daily is not None else None
     cpi = cpi_features(monthly) if monthly is not None else None
     tnx = yield_features(daily) if daily is not None else None

@@ -6,10 +6,10 @@ Spark ML's GBT rejects missing values, so a median ``Imputer`` fitted on
 training rows only fills them, and a 0/1 flag per input column keeps the
 "was missing" signal that XGBoost would use natively.
 
-The training frame is checkpointed to the session's reliable checkpoint
-directory before fitting: every boosting round and every search fit then
-reads materialised rows instead of re-running the feature windows, and a
-lost executor re-reads the checkpoint rather than the whole lineage.
+The training frame is written to the session's shared checkpoint folder
+before fitting: every boosting round and every search fit then reads those
+rows instead of re-running the feature windows, and a lost executor re-reads
+files rather than the whole lineage.
 """
 
 from __future__ import annotations
@@ -22,10 +22,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import materialize
 from .evaluate import best_threshold, f1_score, predict
 from .split import pooled_walk_forward_folds, recency_weights, scale_positive_weights
 
@@ -34,6 +34,9 @@ from .split import pooled_walk_forward_folds, recency_weights, scale_positive_we
 # max_depth -> maxDepth, min_child_weight -> minInstancesPerNode,
 # subsample -> subsamplingRate, colsample_bytree -> featureSubsetStrategy,
 # gamma -> minInfoGain; reg_alpha / reg_lambda have no counterpart).
+# gamma (0, 0.5, 1.0) bounds the loss reduction summed over a node's rows,
+# minInfoGain the reduction of variance per row, so it is divided by ROWS_PER_GAIN.
+ROWS_PER_GAIN = 10_000
 SEARCH_SPACE = {
     "maxIter": [300, 500, 700, 900],
     "stepSize": [0.01, 0.03, 0.05, 0.1],
@@ -41,11 +44,12 @@ SEARCH_SPACE = {
     "minInstancesPerNode": [1, 3, 5, 7],
     "subsamplingRate": [0.6, 0.8, 1.0],
     "featureSubsetStrategy": ["0.6", "0.8", "1.0"],
-    "minInfoGain": [0.0, 0.5, 1.0],
+    "minInfoGain": [0.0, 0.5 / ROWS_PER_GAIN, 1.0 / ROWS_PER_GAIN],
 }
 # The reference's fall-back parameters of the pooled pass.
 DEFAULT_PARAMS = {"maxIter": 500, "stepSize": 0.05, "maxDepth": 5, "minInstancesPerNode": 3,
-                  "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "minInfoGain": 0.5}
+                  "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8",
+                  "minInfoGain": 0.5 / ROWS_PER_GAIN}
 
 
 def add_missing_flags(df: DataFrame, features: list[str]) -> tuple[DataFrame, list[str]]:
@@ -79,10 +83,15 @@ def usable_features(train: DataFrame, features: list[str]) -> list[str]:
 
 def training_frame(panel: DataFrame, features: list[str], split_col: str = "split",
                    label: str = "target_3m", weighted: bool = True,
-                   class_scale: bool = True) -> DataFrame:
+                   class_scale: bool = True, embargo_rows: int = 0) -> DataFrame:
     """Training rows with ``label`` (double) and ``weight``: recency weight
-    (F6) times the positive-class scale (M5), both per symbol."""
+    (F6) times the positive-class scale (M5), both per symbol.  The last
+    ``embargo_rows`` labelled training rows of a symbol, whose labels look into
+    the test period, are left out."""
     tr = panel.where((F.col(split_col) == "train") & F.col(label).isNotNull())
+    if embargo_rows:
+        back = Window.partitionBy("symbol").orderBy(F.col("date").desc())
+        tr = tr.withColumn("_back", F.row_number().over(back)).where(F.col("_back") > embargo_rows).drop("_back")
     if weighted:
         tr = recency_weights(tr)
     if class_scale:
@@ -98,8 +107,7 @@ def fit_gbt(train: DataFrame, features: list[str], params: dict | None = None,
     params = dict(DEFAULT_PARAMS if params is None else params)
     data, flags = add_missing_flags(train, features)
     if checkpoint:
-        ensure_checkpoint_dir(data.sparkSession)
-        data = data.checkpoint(eager=True)
+        data = materialize(data)
     w = weight if (weight and weight in data.columns) else None
     return gbt_pipeline(features, flags, params, weight=w).fit(data)
 
@@ -122,33 +130,39 @@ def sample_params(space: dict = SEARCH_SPACE, n_iter: int = 40, seed: int = 42)
 
 def random_search(train: DataFrame, features: list[str], space: dict = SEARCH_SPACE,
                   n_iter: int = 40, n_splits: int = 5, seed: int = 42, parallelism: int = 4,
-                  weight: str | None = "weight") -> tuple[dict, float, PipelineModel]:
+                  weight: str | None = "weight",
+                  embargo_rows: int = 0) -> tuple[dict, float, PipelineModel]:
     """M4: mean F1 (cut-off 0.5) over walk-forward folds for ``n_iter`` sampled
     parameter sets, then a refit of the best on all training rows.
 
-    Folds are cut on the calendar of training dates (pooled model).  Fits are
+    Folds are cut on the calendar of training dates (pooled model);
+    ``embargo_rows`` dates before a test fold train nothing, since their labels
+    look into it.  Imputer and assembler are fitted once a fold.  Fits are
     independent Spark jobs, submitted from a small thread pool.
     """
     data, flags = add_missing_flags(train, features)
-    ensure_checkpoint_dir(data.sparkSession)
-    data = pooled_walk_forward_folds(data, n_splits).checkpoint(eager=True)
+    data = materialize(pooled_walk_forward_folds(data, n_splits))
     w = weight if (weight and weight in data.columns) else None
     cands = sample_params(space, n_iter, seed)
 
     folds = []
     for k in range(n_splits):
-        fold_train = data.where((F.col("test_fold") < k) | (F.col("test_fold") == -1))
+        first = data.where(F.col("test_fold") == k).agg(F.min("date_idx")).first()[0] or 0
+        fold_train = data.where((F.col("test_fold") < k) & (F.col("date_idx") < first - embargo_rows))
         fold_test = data.where(F.col("test_fold") == k)
         # early folds may not have seen some inputs yet (e.g. a macro series
         # that starts later): a fold's model uses the inputs observed in its
         # own training rows only
         fk = usable_features(fold_train, features)
-        folds.append((fold_train, fold_test, fk, [f"{c}_missing" for c in fk]))
+        prepare = gbt_pipeline(fk, [f"{c}_missing" for c in fk], {}, weight=w, seed=seed).getStages()[:-1]
+        ready = Pipeline(stages=prepare).fit(fold_train)
+        folds.append(tuple(materialize(ready.transform(x).select("features", "label", *([w] if w else [])))
+                           for x in (fold_train, fold_test)))
 
     def run(params: dict) -> float:
         scores = []
-        for fold_train, fold_test, fk, fflags in folds:
-            m = gbt_pipeline(fk, fflags, params, weight=w, seed=seed).fit(fold_train)
+        for fold_train, fold_test in folds:
+            m = gbt_pipeline([], [], params, weight=w, seed=seed).getStages()[-1].fit(fold_train)
             pr = m.transform(fold_test).withColumn("pred", F.col("prediction").cast("int"))
             f1 = f1_score(pr.withColumn("symbol", F.lit("*"))).first()["f1"]
             scores.append(f1)
@@ -190,13 +204,14 @@ def fit_per_symbol(train: DataFrame, features: list[str], params: dict | None =
 
 def pooled_report(panel: DataFrame, features: list[str], params: dict | None = None,
                   split_col: str = "split", label: str = "target_3m",
-                  include_raw_target: bool = False):
+                  include_raw_target: bool = False, embargo_rows: int = 0):
     """M9 + A4 + A5/A6: the reference's second pass -- fixed parameters, no
     recency weights (positive-class scale kept), cut-off 0.5 -- returning
     ``(confusion cells incl. the sum over symbols, mean feature/label
     correlation on training rows)``."""
     from .evaluate import confusion, label_correlation, mean_correlation
-    train = training_frame(panel, features, split_col, label, weighted=False, class_scale=True)
+    train = training_frame(panel, features, split_col, label, weighted=False, class_scale=True,
+                           embargo_rows=embargo_rows)
     model = fit_gbt(train, features, params)
     test = (panel.where((F.col(split_col) == "test") & F.col(label).isNotNull())
             .withColumn("label", F.col(label).cast("double")))
@@ -218,5 +233,5 @@ def load_model(path: str) -> PipelineModel:
 
 def write_features(df: DataFrame, path: str, partition_by: str = "symbol") -> str:
     """Feature / metric sink, partitioned by symbol."""
-    df.write.mode("overwrite").partitionBy(partition_by).parquet(path)
+    df.repartition(partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return path

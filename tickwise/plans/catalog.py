@@ -9,12 +9,13 @@ significant digits above 100, IEEE-only arithmetic) so the DuckDB oracle of
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import round_cols
+from ..functions.columns import ffill, panel_window, round_cols
 from ..session import materialize
 from . import panel as PN
 from ..operators import evaluate as E
@@ -26,6 +27,7 @@ from ..operators import price as P
 from ..operators import relative as RS
 from ..operators import split as S
 from ..operators import train as T
+from ..operators.smoothing import ewm_mean
 from ..sources import bars as B
 from ..sources import macro as SM
 from ..sources import statements as ST
@@ -67,6 +69,29 @@ def hourly_price_features(spark, sf_dir):
     return round_cols(feats.select(*KEYS, *P.PRICE_FEATURES))
 
 
+@query("bars_filtered")
+def bars_filtered(spark, sf_dir):
+    """Bars of two symbols and three years, read with pushed filters."""
+    return round_cols(B.bars_daily(spark, sf_dir, symbols=["ASIA", "EUROPE"],
+                                   start="1994-03-01", end="1997-02-28"))
+
+
+@query("gapped_indicators")
+def gapped_indicators(spark, sf_dir):
+    """Indicators over bars without a price on every seventh
+    day of a month: smoothed as they are (``macd_gapped``), and after the
+    forward fill that the panel applies."""
+    gap = F.dayofmonth("date") % 7 == 0
+    bars = B.bars_daily(spark, sf_dir).select(*KEYS, *[
+        F.when(~gap, F.col(c)).alias(c) for c in ("high", "low", "close", "volume")])
+    bars = ewm_mean(ewm_mean(bars, "close", "_s", com=21, adjust=False), "close", "_a", com=20, min_periods=21)
+    bars = bars.withColumns({"ewm_plain": F.col("_s"), "ewm_adjusted": F.col("_a")}).drop("_s", "_a")
+    w = panel_window()
+    filled = bars.withColumns({c: ffill(c, w) for c in ("high", "low", "close", "volume")})
+    out = I.obv(I.stochastic(I.bollinger(I.macd(I.rsi(filled)))))
+    return round_cols(out.select(*KEYS, "ewm_plain", "ewm_adjusted", *I.TECHNICAL))
+
+
 # ------------------------------------------------------------------ steps 2-3
 @query("returns_lagged")
 def returns_lagged(spark, sf_dir):
@@ -184,8 +209,7 @@ def cpi_features(spark, sf_dir):
 
 @query("macro_calendar")
 def macro_calendar(spark, sf_dir):
-    return round_cols(M.build_macro(SM.macro_daily(spark, sf_dir),
-                                    SM.macro_monthly(spark, sf_dir)))
+    return round_cols(M.build_macro(*SM.macro_series(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ step 8
@@ -197,7 +221,7 @@ BENCHMARKS = ["AMERICA", "EUROPE"]
 @query("forward_fill")
 def forward_fill(spark, sf_dir):
     bars = B.bars_daily(spark, sf_dir)
-    out = RS.align_benchmarks(bars, bars.select("symbol", "date", "close"), [BENCHMARK])
+    out = RS.align_benchmarks(bars, None, [BENCHMARK])
     return round_cols(out.select(*KEYS, F.col("_b0").alias("bench_close"),
                                  F.col("_bf0").alias("bench_close_ffill")))
 
@@ -211,13 +235,12 @@ def relative_strength(spark, sf_dir):
 # ------------------------------------------------------------------ step 10
 
 SPLIT_DATE = "1999-01-01"
+#: Training labels look 63 rows ahead.
+EMBARGO_ROWS = 63
 
 
-def _labelled_split(spark, sf_dir, with_price=False):
-    bars = B.bars_daily(spark, sf_dir)
-    if with_price:
-        bars = P.price_features(bars)
-    lab = L.yearly_quantile_label(bars)
+def _labelled_split(spark, sf_dir):
+    lab = L.yearly_quantile_label(B.bars_daily(spark, sf_dir))
     return S.temporal_split(lab, SPLIT_DATE)
 
 
@@ -262,8 +285,9 @@ def _scored(spark, sf_dir, reused=False):
 def _test_pred(spark, sf_dir):
     sc = _scored(spark, sf_dir, reused=True)
     best = E.best_threshold(sc.where(F.col("split") == "train"))
-    test = sc.where(F.col("split") == "test").join(best, "symbol")
-    return E.predict(test, "threshold")
+    # a symbol without scored training rows keeps its test rows, at 0.5
+    test = sc.where(F.col("split") == "test").join(best, "symbol", "left")
+    return E.predict(test.fillna({"threshold": 0.5}), "threshold")
 
 
 @query("threshold_sweep")
@@ -294,19 +318,21 @@ def roc_auc(spark, sf_dir):
     return round_cols(E.roc_auc(sc))
 
 
-CORR_FEATURES = ["open", "high", "low", "close", "volume", *P.PRICE_FEATURES]
+def _panel_corr(spark, sf_dir):
+    """Correlation of every model input with the label, on training rows."""
+    panel = S.temporal_split(build_panel(spark, sf_dir), SPLIT_DATE)
+    train = panel.where(F.col("split") == "train")
+    return E.label_correlation(train, PN.feature_columns(train))
 
 
 @query("feature_label_corr")
 def feature_label_corr(spark, sf_dir):
-    train = _labelled_split(spark, sf_dir, with_price=True).where(F.col("split") == "train")
-    return round_cols(E.label_correlation(train, CORR_FEATURES))
+    return round_cols(_panel_corr(spark, sf_dir))
 
 
 @query("mean_corr")
 def mean_corr(spark, sf_dir):
-    train = _labelled_split(spark, sf_dir, with_price=True).where(F.col("split") == "train")
-    return round_cols(E.mean_correlation(E.label_correlation(train, CORR_FEATURES)))
+    return round_cols(E.mean_correlation(_panel_corr(spark, sf_dir)))
 
 
 # ------------------------------------------------------------------ step 7
@@ -383,8 +409,7 @@ def build_panel(spark, sf_dir, tail="zero"):
     statements and two benchmarks.  The three small inputs are materialised
     once (each feeds several branches of the plan)."""
     bars = materialize(B.bars_daily(spark, sf_dir))
-    macro = materialize(M.build_macro(SM.macro_daily(spark, sf_dir),
-                                      SM.macro_monthly(spark, sf_dir)))
+    macro = materialize(M.build_macro(*SM.macro_series(spark, sf_dir)))
     return PN.feature_panel(bars, macro, _parsed(spark, sf_dir), BENCHMARKS,
                             items=ALL_ITEMS, tail=tail)
 
@@ -396,36 +421,59 @@ def feature_panel(spark, sf_dir):
 
 # ------------------------------------------------------------------ step 12
 
-# Small fixed boosting budget for the registered query (the search space of
-# the reference is in tickwise.operators.train.SEARCH_SPACE).
-GBT_PARAMS = {"maxIter": 20, "stepSize": 0.1, "maxDepth": 4, "minInstancesPerNode": 3,
-              "subsamplingRate": 0.8, "featureSubsetStrategy": "0.8", "minInfoGain": 0.0}
+def split_panel(spark, sf_dir):
+    """Training panel (tail labels NULL, not 0), split, written once."""
+    return materialize(S.temporal_split(build_panel(spark, sf_dir, tail="null"), SPLIT_DATE))
 
 
-def split_panel(spark, sf_dir):
-    """Training panel (tail labels NULL, not 0), split, checkpointed once."""
+@query("training_frame")
+def training_frame(spark, sf_dir):
+    """What the classifier is trained on: label, weight (recency
+    times class scale) and the flags of missing inputs, after the embargo."""
+    panel = split_panel(spark, sf_dir)
+    feats = PN.feature_columns(panel)
+    train, flags = T.add_missing_flags(T.training_frame(panel, feats, embargo_rows=EMBARGO_ROWS), feats)
+    return round_cols(train.select(*KEYS, "label", "weight",
+                                   *[F.col(f).cast("int").alias(f) for f in flags]))
+
+
+@query("features_round_trip")
+def features_round_trip(spark, sf_dir):
+    """The labelled price features, written partitioned by symbol and read
+    back from there."""
     from ..session import ensure_checkpoint_dir
-    ensure_checkpoint_dir(spark)
-    panel = S.temporal_split(build_panel(spark, sf_dir, tail="null"), SPLIT_DATE)
-    return panel.checkpoint(eager=True)
+    lab = P.price_features(B.bars_daily(spark, sf_dir))
+    path = T.write_features(lab, f"{ensure_checkpoint_dir(spark)}/features-{uuid.uuid4().hex}")
+    return round_cols(spark.read.parquet(path).select(*KEYS, "close", *P.PRICE_FEATURES))
 
 
 @query("gbt_scores")
 def gbt_scores(spark, sf_dir):
+    """M3 + M7: the model of the fall-back parameters (500 rounds)."""
     panel = split_panel(spark, sf_dir)
     feats = PN.feature_columns(panel)
-    train = T.training_frame(panel, feats)
+    train = T.training_frame(panel, feats, embargo_rows=EMBARGO_ROWS)
     feats = T.usable_features(train, feats)
-    model = T.fit_gbt(train, feats, GBT_PARAMS, checkpoint=False)
+    model = T.fit_gbt(train, feats)
     cut = T.tuned_cutoffs(model, train, feats)
     test = (panel.where((F.col("split") == "test") & F.col("target_3m").isNotNull())
             .withColumn("label", F.col("target_3m").cast("double")))
     return round_cols(T.scores_with_cutoff(model, test, feats, cut))
 
 
-# Fixed small search for the registered query: two sampled parameter sets,
-# two pooled walk-forward folds (the full space and budget are parameters of
-# tickwise.operators.train.random_search).
+@query("pooled_report")
+def pooled_report(spark, sf_dir):
+    """M9 + A4: confusion cells of the fixed-parameter pass (500 rounds)."""
+    panel = split_panel(spark, sf_dir)
+    feats = PN.feature_columns(panel)
+    feats = T.usable_features(T.training_frame(panel, feats, embargo_rows=EMBARGO_ROWS), feats)
+    cells, _ = T.pooled_report(panel, feats, embargo_rows=EMBARGO_ROWS)
+    return cells
+
+
+# A cut-down search for the registered query: two sampled parameter sets, two
+# pooled walk-forward folds.  The full space and budget (40 draws, 5 folds) are
+# the defaults of tickwise.operators.train.random_search.
 SEARCH_SPACE_SMALL = {"maxIter": [5, 10], "stepSize": [0.1], "maxDepth": [3, 4],
                       "subsamplingRate": [0.8], "minInstancesPerNode": [3]}
 
@@ -436,10 +484,10 @@ def gbt_search(spark, sf_dir):
     parameters, scores of the test rows at the tuned per-symbol cut-offs."""
     panel = split_panel(spark, sf_dir)
     feats = PN.feature_columns(panel)
-    train = T.training_frame(panel, feats)
+    train = T.training_frame(panel, feats, embargo_rows=EMBARGO_ROWS)
     feats = T.usable_features(train, feats)
     best, _, model = T.random_search(train, feats, SEARCH_SPACE_SMALL, n_iter=2, n_splits=2,
-                                     parallelism=2)
+                                     parallelism=2, embargo_rows=EMBARGO_ROWS)
     cut = T.tuned_cutoffs(model, train, feats)
     test = (panel.where((F.col("split") == "test") & F.col("target_3m").isNotNull())
             .withColumn("label", F.col("target_3m").cast("double")))

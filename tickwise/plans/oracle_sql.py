@@ -357,8 +357,8 @@ sweep AS (
   FROM sw2
 ),
 pred AS (
-  SELECT s.symbol, s.label, CAST(s.p >= b.threshold AS INTEGER) AS pred, s.p
-  FROM scored s JOIN (SELECT symbol, threshold FROM sweep WHERE is_best) b USING (symbol)
+  SELECT s.symbol, s.label, CAST(s.p >= coalesce(b.threshold, 0.5) AS INTEGER) AS pred, s.p
+  FROM scored s LEFT JOIN (SELECT symbol, threshold FROM sweep WHERE is_best) b USING (symbol)
   WHERE s.split = 'test'
 ),
 cnt AS (
@@ -464,25 +464,12 @@ agg AS (
 )
 SELECT symbol, {dr('(rs - np * (np + 1) / 2) / NULLIF(np * nn, 0)')} AS auc,
        CAST(np AS BIGINT) AS n_pos, CAST(nn AS BIGINT) AS n_neg FROM agg"""
-    feats = ["open", "high", "low", "close", "volume", "return_1m", "sma_50", "sma_200",
-             "sma_ratio", "volatility_3m", "volatility_12m", "sharpe_3m", "max_drawdown_3m",
-             "avg_volume_3m", "volume_volatility", "lag_ret_1", "lag_ret_5", "lag_ret_10",
-             "skew_3m", "kurt_3m", "price_vs_sma50", "price_vs_sma200"]
-    corr_base = with_ctes(BARS, price_ctes(), label_ctes("price"), SPLIT_CTES) + f""",
-tr AS (SELECT symbol, CAST(target_3m AS DOUBLE) AS y, {", ".join(feats)}
-       FROM splitted WHERE split = 'train'),
-u AS (UNPIVOT tr ON {", ".join(feats)} INTO NAME feature VALUE value),
-corr AS (SELECT symbol, feature, covar_pop(value, y) / NULLIF(stddev_pop(value) * stddev_pop(y), 0) AS corr
-         FROM u WHERE value IS NOT NULL AND y IS NOT NULL GROUP BY symbol, feature)"""
-    q["feature_label_corr"] = corr_base + f"\nSELECT symbol, feature, {rnd('corr')} FROM corr"
-    q["mean_corr"] = corr_base + f"\nSELECT feature, {dr('avg(corr)')} AS mean_corr FROM corr GROUP BY feature"
     return q
 
 
 def fundamentals_ctes() -> str:
     """CTEs ``fq .. fav``: statements derived from orders, parsed to long
     form, ratios, sparse filter, log gate, dedupe and alias resolution."""
-    from ..operators.fundamentals import ALIASES, RATIOS
     from ..sources.statements import ITEM_SPECS, TEXT_ITEMS
     aggs = ",\n    ".join(
         f"{dr(expr, 2, None)}"
@@ -492,8 +479,6 @@ def fundamentals_ctes() -> str:
          for st, item, _ in ITEM_SPECS]
         + [f"SELECT symbol, '{st}', fiscal_date, '{item}', NULL::DOUBLE FROM fa"
            for st, item, _ in TEXT_ITEMS])
-    pairs = ", ".join(f"('{r}', '{a}', '{b}')" for r, a, b in RATIOS)
-    aliases = ", ".join(f"('{c}', '{x}', {i})" for c, xs in ALIASES for i, x in enumerate(xs))
     ctes = f"""
 fq AS (
   SELECT r.r_name AS symbol,
@@ -508,8 +493,13 @@ fa AS (SELECT symbol, fiscal_date,
 raw AS (
   {raw}
 ),
-rawf AS (SELECT * FROM raw WHERE statement <> 'cashflow' OR fiscal_date >= DATE '1996-01-01'),
-pairs AS (SELECT * FROM (VALUES {pairs}) t(ratio, num, den)),
+rawf AS (SELECT * FROM raw),
+pairs AS (SELECT * FROM (VALUES
+    ('ProfitMargin', 'netIncome', 'totalRevenue'),
+    ('DebtEquity', 'totalLiabilities', 'totalShareholderEquity'),
+    ('CurrentRatio', 'totalCurrentAssets', 'totalCurrentLiabilities'),
+    ('FreeCashFlowMargin', 'operatingCashflow', 'totalRevenue'),
+    ('ROA', 'netIncome', 'totalAssets')) t(ratio, num, den)),
 have AS (SELECT DISTINCT symbol, statement, item FROM rawf),
 sdates AS (SELECT DISTINCT symbol, statement, fiscal_date FROM rawf),
 rat AS (
@@ -548,7 +538,11 @@ ded AS (
   SELECT symbol, statement, fiscal_date, item, value FROM (
     SELECT *, min(rk) OVER (PARTITION BY symbol, item) AS mrk FROM ranked) WHERE rk = mrk
 ),
-alias AS (SELECT * FROM (VALUES {aliases}) t(canonical, item, prio)),
+alias AS (SELECT * FROM (VALUES
+    ('total_liab', 'totalLiab', 0), ('total_liab', 'totalLiabilities', 1),
+    ('equity', 'totalStockholderEquity', 0), ('equity', 'totalShareholderEquity', 1),
+    ('current_assets', 'totalCurrentAssets', 0),
+    ('current_liabilities', 'totalCurrentLiabilities', 0)) t(canonical, item, prio)),
 fav AS (
   SELECT r.symbol, r.statement, r.fiscal_date, a.canonical, r.item AS source_item, r.value, a.prio,
          min(a.prio) OVER (PARTITION BY r.symbol, r.statement, a.canonical) AS best
@@ -698,7 +692,8 @@ TECH_OUT = ["rsi", "macd", "macd_signal", "macd_indicator", "upper_bollinger", "
             "stochastic_d", "stochastic_k", "obv"]
 
 
-def panel_sql() -> str:
+def panel_body() -> tuple[str, list[str]]:
+    """The CTEs up to ``final``, and its double columns."""
     from ..plans.catalog import ALL_ITEMS
     fund = fundamentals_ctes()
     piv = ", ".join(f"max(CASE WHEN d.item = '{i}' THEN d.value END) AS \"{i}\"" for i in ALL_ITEMS)
@@ -730,8 +725,76 @@ final AS (
   JOIN rs r ON r.symbol = t.symbol AND r.date = t.date
 )"""])
     cols = base_cols + VIXC + CPIC + YLDC + list(ALL_ITEMS) + TECH_OUT + ["rs_america", "rs_europe"]
+    return "WITH RECURSIVE " + body, cols
+
+
+def panel_sql() -> str:
+    body, cols = panel_body()
     sel = ", ".join(["symbol", "date", "target_3m"] + [f'{dr(chr(34) + c + chr(34))} AS "{c}"' for c in cols])
-    return "WITH RECURSIVE " + body + f"\nSELECT {sel} FROM final"
+    return body + f"\nSELECT {sel} FROM final"
+
+
+def model_sqls() -> dict[str, str]:
+    """What surrounds the model, over all its inputs."""
+    body, cols = panel_body()
+    feats = [c for c in cols if c != "target_3m_raw"]
+    train = f"""
+sp AS (SELECT *, row_number() OVER (PARTITION BY symbol, date <= {SPLIT} ORDER BY date DESC) AS back FROM final),
+tr AS (SELECT * FROM sp WHERE date <= {SPLIT} AND back > 1 AND date < {SPLIT})"""
+    listed = ", ".join(f'CAST("{c}" AS DOUBLE) AS "{c}"' for c in feats)
+    corr = body + "," + train + f""",
+cast_tr AS (SELECT symbol, CAST(target_3m AS DOUBLE) AS y, {listed} FROM tr),
+u AS (UNPIVOT cast_tr ON {", ".join(f'"{c}"' for c in feats)} INTO NAME feature VALUE value),
+corr AS (SELECT symbol, feature, covar_pop(value, y) / NULLIF(stddev_pop(value) * stddev_pop(y), 0) AS corr
+         FROM u WHERE value IS NOT NULL GROUP BY symbol, feature)"""
+    flags = ", ".join(f'CAST("{c}" IS NULL AS INTEGER) AS "{c}_missing"' for c in feats)
+    frame = body + "," + train + f""",
+lab AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS last_rows
+        FROM tr WHERE target_3m_raw IS NOT NULL),
+emb AS (SELECT * FROM lab WHERE last_rows > 63),
+wt AS (
+  SELECT *, pow(0.99::DOUBLE, CAST(date_diff('day', date, max(date) OVER (PARTITION BY symbol)) AS DOUBLE) / 30.0::DOUBLE) AS rec,
+         sum(target_3m) OVER (PARTITION BY symbol) AS pos, count(*) OVER (PARTITION BY symbol) AS n
+  FROM emb
+),
+ww AS (SELECT *, CASE WHEN target_3m = 1 THEN rec * ((n - pos) / greatest(pos, 1)) ELSE rec END AS weight FROM wt)
+SELECT symbol, date, CAST(target_3m AS DOUBLE) AS label, {rnd('weight')}, {flags} FROM ww"""
+    return {
+        "feature_label_corr": corr + f"\nSELECT symbol, feature, {rnd('corr')} FROM corr",
+        "mean_corr": corr + f"\nSELECT feature, {dr('avg(corr)')} AS mean_corr FROM corr GROUP BY feature",
+        "training_frame": frame,
+    }
+
+
+def gapped_sql() -> str:
+    """Indicators over bars with gaps; fills and recurrences are spelled out."""
+    full = win(frame='ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW')
+    filled = ", ".join(f"last_value({c} IGNORE NULLS) {full} AS {c}" for c in ("high", "low", "close", "volume"))
+    gapped = ", ".join(f"CASE WHEN day(date) % 7 <> 0 THEN {c} END AS {c}" for c in ("high", "low", "close", "volume"))
+    r, r20 = "(1 - 1.0::DOUBLE / 22)", "(1 - 1.0::DOUBLE / 21)"
+    return "WITH RECURSIVE " + ",".join([BARS, f"""
+gb AS (SELECT symbol, date, {gapped} FROM bars),
+gn AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date) AS rn FROM gb),
+ge AS (
+  SELECT symbol, rn, date, close AS m, CASE WHEN close IS NULL THEN 0 ELSE 1 END::DOUBLE AS wt,
+         coalesce(close, 0) AS num, CASE WHEN close IS NULL THEN 0 ELSE 1 END::DOUBLE AS den,
+         CASE WHEN close IS NULL THEN 0 ELSE 1 END AS seen
+  FROM gn WHERE rn = 1
+  UNION ALL
+  SELECT s.symbol, s.rn, s.date,
+         CASE WHEN s.close IS NULL THEN p.m WHEN p.m IS NULL THEN s.close
+              ELSE ({r} * p.wt * p.m + (1 - {r}) * s.close) / ({r} * p.wt + (1 - {r})) END,
+         CASE WHEN s.close IS NULL THEN {r} * p.wt ELSE 1.0::DOUBLE END,
+         coalesce(s.close, 0) + {r20} * p.num,
+         CASE WHEN s.close IS NULL THEN 0.0::DOUBLE ELSE 1.0::DOUBLE END + {r20} * p.den,
+         p.seen + CASE WHEN s.close IS NULL THEN 0 ELSE 1 END
+  FROM ge p JOIN gn s ON s.symbol = p.symbol AND s.rn = p.rn + 1
+),
+filled AS (SELECT symbol, date, {filled} FROM gb)""", technical_ctes("filled")]) + f"""
+SELECT x.symbol, x.date, {rnd('ge.m', 'ewm_plain')},
+       {rnd('CASE WHEN ge.seen >= 21 THEN ge.num / NULLIF(ge.den, 0) END', 'ewm_adjusted')},
+       {", ".join(rnd('x.' + c, c) for c in TECH_OUT)}
+FROM tech x JOIN ge USING (symbol, date)"""
 
 
 def build() -> dict[str, str]:
@@ -770,4 +833,9 @@ FROM labelled GROUP BY symbol"""
     q.update(eval_sqls())
     q.update(fundamentals_sqls())
     q["feature_panel"] = panel_sql()
+    q.update(model_sqls())
+    q["gapped_indicators"] = gapped_sql()
+    q["bars_filtered"] = (with_ctes(BARS) + "\n" + select_rounded("bars", ["symbol", "date"], bar_cols)
+                          + " WHERE symbol IN ('ASIA', 'EUROPE') AND date BETWEEN DATE '1994-03-01' AND DATE '1997-02-28'")
+    q["features_round_trip"] = price_query(["close", *PRICE_OUT])
     return q

@@ -2,7 +2,7 @@
 the order of the reference:
 
 1. full-history price features W1-W11, forward return and yearly label
-   (W12, W13), forward fill of the features (W14);
+   (W12, W13), then forward fill of the bars and the features (W14);
 2. left join of the macro calendar on date (J2);
 3. quarterly fundamentals as of each bar, bars before the first valid
    quarter cut (J4, P7);
@@ -18,7 +18,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.columns import ffill, panel_window
-from ..functions.joins import broadcast_if_small
 from ..session import materialize
 from ..operators import fundamentals as FU
 from ..operators.indicators import technical_indicators
@@ -50,11 +49,11 @@ def feature_panel(bars: DataFrame, macro: DataFrame | None = None,
     w = panel_window()
     d = price_features(bars)
     d = yearly_quantile_label(d, tail=tail)
-    fill = list(PRICE_FEATURES) + (["target_3m_raw"] if fill_raw_target else [])
+    fill = ["open", "high", "low", "close", "volume", *PRICE_FEATURES,
+            *(["target_3m_raw"] if fill_raw_target else [])]
     d = d.select(*[ffill(c, w).alias(c) if c in fill else F.col(c) for c in d.columns])
     if macro is not None:
-        # one row per calendar day: broadcast once its count is known to be small
-        d = d.join(broadcast_if_small(macro), "date", "left")
+        d = d.join(macro, "date", "left")
     if statements is not None:
         long = FU.fundamentals_long(statements)
         d = FU.asof_fundamentals(d, long, report_dates(statements), items,

@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import finite
 from ..functions.joins import broadcast_if_small
 from .tables import read_table
 
@@ -31,16 +32,33 @@ BAR_SCHEMA = T.StructType([
 ])
 
 
+def read_bars(spark: SparkSession, path: str, symbols: list[str] | None = None,
+              start: str | None = None, end: str | None = None) -> DataFrame:
+    """Landed OHLCV bars (Parquet, :data:`BAR_SCHEMA`).  The symbols and the
+    dates (both inclusive) are pushed into the scan; NaN and infinite values
+    are read as NULL, and rows without a symbol or date are dropped."""
+    bars = spark.read.schema(BAR_SCHEMA).parquet(path)
+    if symbols is not None:
+        bars = bars.where(F.col("symbol").isin(list(symbols)))
+    if start is not None:
+        bars = bars.where(F.col("date") >= F.lit(start).cast("date"))
+    if end is not None:
+        bars = bars.where(F.col("date") <= F.lit(end).cast("date"))
+    bars = bars.where(F.col("symbol").isNotNull() & F.col("date").isNotNull())
+    return bars.select("symbol", "date", *[finite(c).alias(c) for c in BAR_SCHEMA.names[2:]])
+
+
 def build_bars(trades: DataFrame, symbol: Column, ts: Column, price: Column,
                qty: Column, order_by: list[Column]) -> DataFrame:
-    """Aggregate trades into OHLCV bars.
+    """Aggregate trades into OHLCV bars.  Trades without a finite price are
+    left out, quantities that are not finite count as missing.
 
     ``ts`` is the bar key (already truncated to the grain), ``order_by`` the
     total order of trades inside a bar (ties must be broken by the caller).
     """
     t = trades.select(symbol.alias("symbol"), ts.alias("date"), price.alias("px"),
                       qty.alias("qty"), F.struct(*order_by).alias("ord"))
-    t = t.where(F.col("px").isNotNull())
+    t = t.withColumns({"px": finite("px"), "qty": finite("qty")}).where(F.col("px").isNotNull())
     return t.groupBy("symbol", "date").agg(
         F.min_by("px", "ord").alias("open"),
         F.max("px").alias("high"),
@@ -86,7 +104,7 @@ def bars_daily(spark: SparkSession, sf_dir: str, symbols: list[str] | None = Non
     sup = supplier_symbols(spark, sf_dir)
     if symbols is not None:
         sup = sup.where(F.col("symbol").isin(list(symbols)))
-    sup = broadcast_if_small(sup, bound=read_table(spark, sf_dir, "supplier").select("s_suppkey"))
+    sup = broadcast_if_small(sup, read_table(spark, sf_dir, "supplier"))
     trades = li.join(sup, li.l_suppkey == sup.s_suppkey)
     px = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
     return build_bars(

@@ -17,18 +17,39 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import finite
+from ..session import materialize
 from .tables import read_table
 
 
+def macro_series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(daily, monthly) of :func:`macro_daily` and :func:`macro_monthly` from one
+    scan of orders and one of line items: sums and counts per day are written
+    once, and the monthly average is taken over the days."""
+    orders = read_table(spark, sf_dir, "orders").select(
+        F.to_date("o_orderdate").alias("date"), finite("o_totalprice").alias("v"), F.lit("VIX").alias("series_id"))
+    items = read_table(spark, sf_dir, "lineitem").select(
+        F.to_date("l_shipdate").alias("date"), finite("l_discount").alias("v"), F.lit("TNX").alias("series_id"))
+    days = materialize(orders.unionByName(items).groupBy("series_id", "date")
+                       .agg(F.sum("v").alias("total"), F.count("v").alias("n")))
+    mean = F.try_divide(F.col("total"), F.col("n"))
+    daily = days.select("series_id", "date", F.when(F.col("series_id") == "VIX", mean / F.lit(10000.0))
+                        .otherwise(mean * F.lit(1000.0)).alias("value"))
+    monthly = (days.where(F.col("series_id") == "VIX").groupBy(F.trunc("date", "month").alias("date"))
+               .agg((F.try_divide(F.sum("total"), F.sum("n")) / F.lit(1000.0)).alias("value"))
+               .select(F.lit("CPI").alias("series_id"), "date", "value"))
+    return daily, monthly
+
+
 def macro_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily index levels, long form (series_id in VIX, TNX)."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderdate", "o_totalprice")
     vix = (orders.groupBy(F.to_date("o_orderdate").alias("date"))
-           .agg((F.avg("o_totalprice") / F.lit(10000.0)).alias("value"))
+           .agg((F.avg(finite("o_totalprice")) / F.lit(10000.0)).alias("value"))
            .select(F.lit("VIX").alias("series_id"), "date", "value"))
     li = read_table(spark, sf_dir, "lineitem").select("l_shipdate", "l_discount")
     tnx = (li.groupBy(F.to_date("l_shipdate").alias("date"))
-           .agg((F.avg("l_discount") * F.lit(1000.0)).alias("value"))
+           .agg((F.avg(finite("l_discount")) * F.lit(1000.0)).alias("value"))
            .select(F.lit("TNX").alias("series_id"), "date", "value"))
     return vix.unionByName(tnx)
 
@@ -37,5 +58,5 @@ def macro_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Monthly CPI level, long form (series_id CPI), dated on the 1st."""
     orders = read_table(spark, sf_dir, "orders").select("o_orderdate", "o_totalprice")
     return (orders.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("date"))
-            .agg((F.avg("o_totalprice") / F.lit(1000.0)).alias("value"))
+            .agg((F.avg(finite("o_totalprice")) / F.lit(1000.0)).alias("value"))
             .select(F.lit("CPI").alias("series_id"), "date", "value"))

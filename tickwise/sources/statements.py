@@ -54,7 +54,6 @@ ITEM_SPECS = (
     ("cashflow", "dividendPayout", "sum(p) FILTER (WHERE p > 498500 AND pr <> '5-LOW')"),
 )
 TEXT_ITEMS = (("income", "reportedCurrency", "USD"),)
-CASHFLOW_FROM = "1996-01-01"  # the cash-flow history starts later
 
 
 def statements_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -70,7 +69,7 @@ def statements_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus", "o_orderpriority")
     nr = nation.join(F.broadcast(region), nation.n_regionkey == region.r_regionkey)
     cr = broadcast_if_small(cust.join(F.broadcast(nr), cust.c_nationkey == nr.n_nationkey),
-                            bound=cust.select("c_custkey"))
+                            cust)
     o = orders.join(cr, orders.o_custkey == cr.c_custkey).select(
         F.col("r_name").alias("symbol"),
         F.last_day(F.add_months(F.trunc(F.to_date("o_orderdate"), "quarter"), 2)).alias("fd"),
@@ -94,12 +93,35 @@ def statements_from_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = q.select("symbol", "fd", F.array(*[
         F.struct(F.lit(s).alias("statement"), body(s).alias("body")) for s in STATEMENTS
     ]).alias("_d")).select("symbol", "fd", F.explode("_d").alias("_d"))
-    docs = docs.where((F.col("_d.statement") != "cashflow")
-                      | (F.col("fd") >= F.lit(CASHFLOW_FROM).cast("date")))
     return docs.select("symbol", F.col("_d.statement").alias("statement"),
                        F.col("_d.body").alias("body"))
 
 
+def read_statements(spark: SparkSession, path: str) -> DataFrame:
+    """Landed statement files as documents ``(symbol, statement, body)``: one
+    JSON document a file, named ``<symbol>_<statement>.json``."""
+    files = spark.read.format("text").option("wholetext", "true").load(path)
+    name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+)_([^_]+)\.json$", 0)
+    return files.where(name != "").select(
+        F.regexp_extract("_metadata.file_name", r"^(.+)_([^_]+)\.json$", 1).alias("symbol"),
+        F.regexp_extract("_metadata.file_name", r"^(.+)_([^_]+)\.json$", 2).alias("statement"),
+        F.col("value").alias("body"))
+
+
+def unreadable_statements(docs: DataFrame) -> DataFrame:
+    """``(symbol, statement, reason)`` of the documents that yield no rows:
+    ``corrupt`` (missing or not JSON), ``no reports`` or ``no dated report``."""
+    schema = T.StructType([*REPORTS_SCHEMA.fields, T.StructField("_corrupt_record", T.StringType())])
+    read = F.from_json("body", schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    reports = F.col("_d.quarterlyReports")
+    dated = F.exists(reports, lambda m: F.try_to_date(m.getItem(DATE_KEY), "yyyy-MM-dd").isNotNull())
+    reason = (F.when(F.col("_d").isNull() | F.col("_d._corrupt_record").isNotNull(), "corrupt")
+              .when(F.coalesce(F.size(reports), F.lit(0)) < 1, "no reports")
+              .when(~F.coalesce(dated, F.lit(False)), "no dated report"))
+    return (docs.select("symbol", "statement", read.alias("_d"))
+            .select("symbol", "statement", reason.alias("reason")).where("reason is not null"))
+
+
 def parse_statements(docs: DataFrame) -> DataFrame:
     """Parse statement documents into ``(symbol, statement, fiscal_date,
     item, value)``.
