@@ -13,16 +13,27 @@ from __future__ import annotations
 
 import base64
 import heapq
+from array import array
+from bisect import bisect_right
 from itertools import chain
 
+import numpy as np
+import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
+from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, StructField, StructType)
 
 from .common import append
 
 #: Encoded pieces that a task keeps; beyond, it forgets them and starts again.
-CACHED_PIECES = 300_000
+CACHED_PIECES = 600_000
+#: Texts that are cut and encoded together.
+ENCODED_TEXTS = 1_000
+#: Pieces that are replayed together; their lists stay in the processor's cache.
+REPLAYED_PIECES = 2_000
+#: Token ids are below 2 to this power.
+PAIR_BITS = 20
 ENCODED = StructType([StructField("ids", ArrayType(IntegerType(), False), False),
                       StructField("decoded", BinaryType(), False)])
 
@@ -39,95 +50,118 @@ class MergeReplay:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.vocab = {rank: token for token, rank in ranks.items()}
-        self.bytes = [ranks[bytes([b])] for b in range(256)]
-        self.pairs: dict[tuple[int, int], int] = {}
-
-    def rank(self, left: int, right: int) -> int:
-        """The rank at which two tokens merge; -1 if they never do."""
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) > 2_000_000:
-                self.pairs.clear()
-            found = self.ranks.get(self.vocab[left] + self.vocab[right], -1)
-            self.pairs[left, right] = found
-        return found
-
-    def encode(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)])
+        # Every pair of tokens that makes a token, and its rank.
+        self.pairs = {(ranks[token[:at]] << PAIR_BITS) + ranks[token[at:]]: rank
+                      for token, rank in ranks.items() for at in range(1, len(token))
+                      if token[:at] in ranks and token[at:] in ranks}
+        self.first = np.array([[self.pairs.get((int(a) << PAIR_BITS) + int(b), -1) for b in self.bytes]
+                               for a in self.bytes])
+
+    def encode(self, pieces: list[bytes]) -> list[list[int]]:
         """Token ids of each piece, as lowest-rank-first merging gives them."""
-        out: list = [None] * len(pieces)
-        token: list[int] = []
-        after: list[int] = []
-        before: list[int] = []
-        owner: list[int] = []
-        first: list[tuple[int, int]] = []
-        index: dict[int, list[int]] = {}
-        rank = self.rank
-        for k, piece in enumerate(pieces):
-            whole = self.ranks.get(piece)
-            if whole is not None:
-                out[k] = (whole,)
-                continue
-            at, n = len(token), len(piece)
-            first.append((k, at))
-            token.extend(map(self.bytes.__getitem__, piece))
-            after.extend(range(at + 1, at + n + 1))
-            before.extend(range(at - 1, at + n - 1))
-            if n:
-                after[-1] = before[at] = -1
-            owner.extend([k] * n)
-            for p in range(at, at + n - 1):
-                if (r := rank(token[p], token[p + 1])) >= 0:
-                    index.setdefault(r, []).append(p)
+        out: list = [[self.ranks[p]] if p in self.ranks else None for p in pieces]
+        todo = [k for k, ids in enumerate(out) if ids is None]
+        lengths = np.array([len(pieces[k]) for k in todo], np.int64)
+        raw = np.frombuffer(b"".join(pieces[k] for k in todo), np.uint8)
+        ends = np.cumsum(lengths)
+        starts = (ends - lengths).tolist()
+        token = self.bytes[raw].tolist()
+        after = np.arange(1, len(raw) + 1)
+        before = np.arange(-1, len(raw) - 1)
+        after[ends[lengths > 0] - 1] = -1
+        before[(ends - lengths)[lengths > 0]] = -1
+        # The inverted index: from a rank to the places of the pairs that merge at it.
+        merges = self.first[raw[:-1], raw[1:]] if len(raw) else np.empty(0, int)
+        merges[after[:-1] < 0] = -1
+        order = np.argsort(merges, kind="stable")
+        found, cut = np.unique(merges[order], return_index=True)
+        index = {int(r): places.tolist() for r, places in zip(found, np.split(order, cut[1:])) if r >= 0}
+        after, before = after.tolist(), before.tolist()
         heap = list(index)
         heapq.heapify(heap)
+        pairs, entry, bits = self.pairs.get, index.get, PAIR_BITS
         while heap:
             r = heapq.heappop(heap)
-            if (places := index.pop(r, None)) is None:
-                continue
+            places = index.pop(r)
             places.sort()
             # A merge may open a pair of lower rank, which comes first in its piece.
             held: set[int] = set()
             later: list[int] = []
+            high = r << bits
             for p in places:
-                if owner[p] in held:
-                    later.append(p)
+                left, q = token[p], after[p]
+                if left < 0 or q < 0 or pairs((left << bits) + token[q]) != r:
                     continue
-                q = after[p]
-                if token[p] < 0 or q < 0 or rank(token[p], token[q]) != r:
+                if held and bisect_right(starts, p) in held:
+                    later.append(p)
                     continue
                 token[p], token[q] = r, -1
                 after[p] = n = after[q]
                 if n >= 0:
                     before[n] = p
-                for left in (before[p], p):
-                    if left >= 0 and after[left] >= 0:
-                        new = rank(token[left], token[after[left]])
-                        if new >= 0:
-                            if new in index:
-                                index[new].append(left)
-                            else:
-                                index[new] = [left]
-                                heapq.heappush(heap, new)
-                            if new < r:
-                                held.add(owner[p])
+                    new = pairs(high + token[n])
+                    if new is not None:
+                        if (waiting := entry(new)) is not None:
+                            waiting.append(p)
+                        else:
+                            index[new] = [p]
+                            heapq.heappush(heap, new)
+                        if new < r:
+                            held.add(bisect_right(starts, p))
+                n = before[p]
+                if n >= 0:
+                    new = pairs((token[n] << bits) + r)
+                    if new is not None:
+                        if (waiting := entry(new)) is not None:
+                            waiting.append(n)
+                        else:
+                            index[new] = [n]
+                            heapq.heappush(heap, new)
+                        if new < r:
+                            held.add(bisect_right(starts, p))
             if later:
-                if r in index:
-                    index[r].extend(later)
-                else:
-                    index[r] = later
-                    heapq.heappush(heap, r)
-        for k, at in first:
-            ids, p = [], at if pieces[k] else -1
-            while p >= 0:
-                ids.append(token[p])
-                p = after[p]
-            out[k] = tuple(ids)
+                index[r] = later
+                heapq.heappush(heap, r)
+        for k, start, length in zip(todo, starts, lengths.tolist()):
+            out[k] = [t for t in token[start:start + length] if t >= 0]
         return out
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.vocab.__getitem__, ids))
 
 
+class Encoder:
+    """Encodes batches of texts; each distinct piece is replayed once."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        self.replay = MergeReplay(ranks)
+        self.cut = regex.compile(pattern).findall
+        self.known: dict[str, bytes] = {}  # a piece's ids, as 32-bit integers
+        self.types = to_arrow_type(ENCODED["ids"].dataType), pa.binary()
+
+    def some(self, texts: list[str]) -> list[np.ndarray]:
+        known = self.known
+        if len(known) > CACHED_PIECES:
+            known.clear()
+        pieces = [self.cut(t) for t in texts]
+        new = list(set(chain.from_iterable(pieces)).difference(known))
+        for at in range(0, len(new), REPLAYED_PIECES):
+            part = new[at:at + REPLAYED_PIECES]
+            made = self.replay.encode([w.encode() for w in part])
+            known.update(zip(part, (array("i", ids).tobytes() for ids in made)))
+        return [np.frombuffer(b"".join(map(known.__getitem__, own)), np.int32) for own in pieces]
+
+    def run(self, texts: list) -> pa.Array:
+        ids = [x for at in range(0, len(texts), ENCODED_TEXTS)
+               for x in self.some([t or "" for t in texts[at:at + ENCODED_TEXTS]])]
+        offsets = np.cumsum([0, *map(len, ids)], dtype=np.int32)
+        return pa.StructArray.from_arrays(
+            [pa.ListArray.from_arrays(offsets, np.concatenate(ids), type=self.types[0]),
+             pa.array([self.replay.decode(own.tolist()) for own in ids], self.types[1])],
+            fields=list(to_arrow_type(ENCODED)))
+
+
 def encode_decode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "text",
                   out: str = "bpe") -> DataFrame:
     """``docs`` plus a struct ``out``: the token ``ids`` of the text, and the
@@ -141,24 +175,6 @@ def encode_decode(docs: DataFrame, rank_file: bytes, pattern: str, text: str = "
     packed = docs.sparkSession.sparkContext.broadcast(rank_file)
 
     def start():
-        replay = MergeReplay(load_ranks(packed.value))
-        cut = regex.compile(pattern).findall
-        known: dict[str, tuple[int, ...]] = {}
-
-        def run(texts: list) -> list:
-            pieces = [cut(t) if t else [] for t in texts]
-            if len(known) > CACHED_PIECES:
-                known.clear()
-            new = list(set(chain.from_iterable(pieces)).difference(known))
-            for at in range(0, len(new), 20_000):
-                part = new[at:at + 20_000]
-                known.update(zip(part, replay.encode([w.encode() for w in part])))
-            made = []
-            for own in pieces:
-                ids = list(chain.from_iterable(map(known.__getitem__, own)))
-                made.append({"ids": ids, "decoded": replay.decode(ids)})
-            return made
-
-        return run
+        return Encoder(load_ranks(packed.value), pattern).run
 
     return append(docs, text, out, ENCODED, start)

@@ -33,11 +33,11 @@ def bound_batches(spark: SparkSession) -> None:
 
 
 def append(df: DataFrame, source: str, name: str, kind: DataType,
-           start: Callable[[], Callable[[list], list]]) -> DataFrame:
+           start: Callable[[], Callable[[list], list | pa.Array]]) -> DataFrame:
     """``df`` plus a column ``name``: a function of the column ``source``.
 
     ``start()`` runs once a task and returns the function, which gets the
-    values of an Arrow batch as a list and returns as many results.  All other
+    values of an Arrow batch as a list and returns as many results (or an array).  All other
     columns pass through untouched, so no join is needed to bring them back.
     """
     schema = StructType([f for f in df.schema.fields if f.name != name] + [StructField(name, kind)])
@@ -48,7 +48,8 @@ def append(df: DataFrame, source: str, name: str, kind: DataType,
         made = None
         for batch in batches:
             made = made or start()
-            out = pa.array(made(batch.column(source).to_pylist()), type=arrow)
+            out = made(batch.column(source).to_pylist())
+            out = out if isinstance(out, pa.Array) else pa.array(out, type=arrow)
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), out], [*kept, name])
 
     return df.mapInArrow(run, schema)
