@@ -24,21 +24,23 @@ from .tables import read_table
 
 def macro_series(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """(daily, monthly) of :func:`macro_daily` and :func:`macro_monthly` from one
-    scan of orders and one of line items: sums and counts per day are written
-    once, and the monthly average is taken over the days."""
+    scan of orders, grouped by day and by month at once, and one of line items;
+    the three series are written once."""
     orders = read_table(spark, sf_dir, "orders").select(
-        F.to_date("o_orderdate").alias("date"), finite("o_totalprice").alias("v"), F.lit("VIX").alias("series_id"))
-    items = read_table(spark, sf_dir, "lineitem").select(
-        F.to_date("l_shipdate").alias("date"), finite("l_discount").alias("v"), F.lit("TNX").alias("series_id"))
-    days = materialize(orders.unionByName(items).groupBy("series_id", "date")
-                       .agg(F.sum("v").alias("total"), F.count("v").alias("n")))
-    mean = F.try_divide(F.col("total"), F.col("n"))
-    daily = days.select("series_id", "date", F.when(F.col("series_id") == "VIX", mean / F.lit(10000.0))
-                        .otherwise(mean * F.lit(1000.0)).alias("value"))
-    monthly = (days.where(F.col("series_id") == "VIX").groupBy(F.trunc("date", "month").alias("date"))
-               .agg((F.try_divide(F.sum("total"), F.sum("n")) / F.lit(1000.0)).alias("value"))
-               .select(F.lit("CPI").alias("series_id"), "date", "value"))
-    return daily, monthly
+        F.to_date("o_orderdate").alias("day"), finite("o_totalprice").alias("v"))
+    orders = orders.withColumn("month", F.trunc("day", "month"))
+    both = orders.groupingSets([["day"], ["month"]], "day", "month").agg(
+        F.avg("v").alias("mean"), F.grouping("day").alias("monthly"))
+    of_orders = both.select(
+        F.when(F.col("monthly") == 1, "CPI").otherwise("VIX").alias("series_id"),
+        F.when(F.col("monthly") == 1, F.col("month")).otherwise(F.col("day")).alias("date"),
+        (F.col("mean") / F.when(F.col("monthly") == 1, F.lit(1000.0)).otherwise(F.lit(10000.0))).alias("value"))
+    items = read_table(spark, sf_dir, "lineitem").select("l_shipdate", "l_discount")
+    of_items = (items.groupBy(F.to_date("l_shipdate").alias("date"))
+                .agg((F.avg(finite("l_discount")) * F.lit(1000.0)).alias("value"))
+                .select(F.lit("TNX").alias("series_id"), "date", "value"))
+    series = materialize(of_orders.unionByName(of_items))
+    return series.where(F.col("series_id") != "CPI"), series.where(F.col("series_id") == "CPI")
 
 
 def macro_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
