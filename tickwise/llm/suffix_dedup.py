@@ -241,8 +241,9 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         F.col("__k").alias("k"), F.col("__doc").alias("doc"), F.col("__data").alias("data"))
     long_enough = keyed.where(F.octet_length("data") >= length)
     anchors = materialize(long_enough.mapInArrow(lambda b: _anchors(b, length, spread), ANCHORS))
-    cores = (anchors.groupBy("core").agg(F.count(F.lit(1)).alias("n"), F.min("reach").alias("a"),
-                                         F.max("reach").alias("b")).where("n > 1"))
+    # Counts are written before they are joined, so that the join may split a hot core.
+    cores = materialize(anchors.groupBy("core").agg(
+        F.count(F.lit(1)).alias("n"), F.min("reach").alias("a"), F.max("reach").alias("b")).where("n > 1"))
     met = materialize(anchors.join(cores.select("core", (F.col("a") == F.col("b")).alias("alike")), "core"))
     run = ["k", "doc", (F.col("t") - F.col("hi")).alias("start"), (F.col("t") - F.col("lo") + length).alias("end")]
     alike = met.where("alike").select(*run)
@@ -251,7 +252,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     reaches = materialize(unlike.groupBy("core", "reach").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "doc", "t", "lo", "hi")).alias("r")))
     twice = unlike.join(reaches.where("n > 1").select("core", "reach"), ["core", "reach"], "left_semi").select(*run)
-    crowds = reaches.groupBy("core").agg((F.count(F.lit(1)) > task_rows).alias("crowded"))
+    crowds = materialize(reaches.groupBy("core").agg((F.count(F.lit(1)) > task_rows).alias("crowded")))
     picked = (reaches.join(crowds, "core").select("r.k", "r.doc", F.struct("core", "r.t", "r.lo", "r.hi", "n", "crowded").alias("p"))
               .groupBy("k", "doc").agg(F.collect_list("p").alias("picked")))
     contexts = materialize(_packed(keyed).join(picked, ["k", "doc"])
@@ -259,7 +260,8 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     ordered = (contexts.where("string is null").repartition("core").sortWithinPartitions("core")
                .mapInArrow(lambda b: _ordered(b, length), SPANS))
     strings = contexts.where("string is not null")
-    often = strings.groupBy("core", "string").agg(F.sum("n").alias("all")).where("all > 1").select("core", "string")
+    often = materialize(strings.groupBy("core", "string").agg(F.sum("n").alias("all")).where("all > 1")
+                        .select("core", "string"))
     counted = strings.where("n = 1").join(often, ["core", "string"], "left_semi").select(*run)
     return alike.unionByName(twice).unionByName(ordered).unionByName(counted)
 
