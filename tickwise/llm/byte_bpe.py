@@ -27,9 +27,9 @@ from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, StructField,
 from .common import append
 
 #: Encoded pieces that a task keeps; beyond, it forgets them and starts again.
-CACHED_PIECES = 600_000
+CACHED_PIECES = 250_000
 #: Texts that are cut and encoded together.
-ENCODED_TEXTS = 1_000
+ENCODED_TEXTS = 500
 #: Pieces that are replayed together; their lists stay in the processor's cache.
 REPLAYED_PIECES = 2_000
 #: Token ids are below 2 to this power.

@@ -17,8 +17,8 @@ from pyspark.sql.types import DataType, StructField, StructType
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
 
 # Bounds one Arrow batch in a Python worker, whatever the length of the texts.
-ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "4000",
-         "spark.sql.execution.arrow.maxBytesPerBatch": "16m"}
+ARROW = {"spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+         "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
