@@ -26,7 +26,7 @@ import pandas as pd
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, StructField, StructType
 
 from .common import append, held_out
 
@@ -39,6 +39,7 @@ BATCH, EPOCHS, STEPS, RATE, DECAY = 1_000, 20, 200, 0.1, 1e-4
 #: A feature of fewer toxic examples tells nothing.
 MIN_TOXIC = 2
 CACHED_WORDS = 300_000
+PACKED = StructType([StructField("words", IntegerType(), False), StructField("features", BinaryType(), False)])
 words_in = regex.compile(r"[^\W\d_]+").findall
 
 
@@ -75,14 +76,16 @@ def sigmoid(z):
 
 def fit(toxic: list, unlabelled: list, prior: float, seed: int) -> tuple[np.ndarray, float]:
     """Weights and offset that minimise the non-negative PU risk (logistic
-    loss, Adam).  Both lists hold (feature array, number of words) a text."""
+    loss, Adam with a falling rate).  Both lists hold (feature array, number of
+    words) a text."""
     held = np.bincount(np.concatenate([np.unique(f) for f, _ in toxic]), minlength=FEATURES) >= MIN_TOXIC
     toxic, unlabelled = ([(f[held[f]], words) for f, words in texts] for texts in (toxic, unlabelled))
     rng = np.random.default_rng(seed)
     theta = np.append(np.zeros(FEATURES), -1.0)
     mean, square, t = np.zeros_like(theta), np.zeros_like(theta), 0
     steps = -(-len(unlabelled) // BATCH)
-    for _ in range(max(EPOCHS, -(-STEPS // steps))):
+    epochs = max(EPOCHS, -(-STEPS // steps))
+    for _ in range(epochs):
         p_parts = np.array_split(rng.permutation(len(toxic)), steps)
         for p_rows, u_rows in zip(p_parts, np.array_split(rng.permutation(len(unlabelled)), steps)):
             p_rows = p_rows if len(p_rows) else rng.integers(len(toxic), size=1)
@@ -96,7 +99,8 @@ def fit(toxic: list, unlabelled: list, prior: float, seed: int) -> tuple[np.ndar
             t += 1
             mean += 0.1 * (step - mean)
             square += 0.001 * (step * step - square)
-            theta -= RATE * mean / (1 - 0.9 ** t) / (np.sqrt(square / (1 - 0.999 ** t)) + 1e-6)
+            rate = RATE * (1 - (t - 1) / (steps * epochs))
+            theta -= rate * mean / (1 - 0.9 ** t) / (np.sqrt(square / (1 - 0.999 ** t)) + 1e-6)
     return theta[:-1], float(theta[-1])
 
 
@@ -123,26 +127,34 @@ def train(docs: DataFrame, labels: DataFrame, text: str = "text") -> list[tuple[
     # At most about MAX_TOXIC ids of eight bytes.
     picked = F.broadcast(known.where((F.col("toxic") == 1) & (chance < share)).select("doc_id"))
     toxic = own.join(picked, "doc_id", "left_semi").select(
-        F.explode(F.sequence(F.lit(0), F.lit(MEMBERS - 1))).alias("member"), F.lit(1).alias("toxic"), "text")
+        F.sequence(F.lit(0), F.lit(MEMBERS - 1)).alias("members"), F.lit(1).alias("toxic"), "text")
     share = min(1.0, MEMBERS * MAX_UNLABELLED / n, MEMBERS * MAX_BYTES / size)
     unlabelled = own.where(chance < share).select(
-        F.pmod(F.xxhash64(F.col("doc_id"), F.lit("member")), F.lit(MEMBERS)).cast("int").alias("member"),
+        F.array(F.pmod(F.xxhash64(F.col("doc_id"), F.lit("member")), F.lit(MEMBERS)).cast("int")).alias("members"),
         F.lit(0).alias("toxic"), "text")
 
+    def packed(texts: list) -> list:
+        made = []
+        for value in texts:
+            words = sorted(distinct_words(value))
+            found = np.array([f for w in words for f in word_features(w)], np.int32)
+            made.append({"words": len(words), "features": found.tobytes()})
+        return made
+
     def member(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        seen: dict[str, list[int]] = {}
         sets: tuple[list, list] = ([], [])
-        for is_toxic, value in zip(rows["toxic"], rows["text"]):
-            words = sorted(distinct_words(value))
-            found = [f for w in words for f in (seen.get(w) or seen.setdefault(w, word_features(w)))]
-            sets[is_toxic].append((np.array(found, np.int32), len(words)))
+        # In an order of their own, whatever order the shuffle brought them in.
+        for is_toxic, row in sorted(zip(rows["toxic"], rows["packed"]), key=lambda r: (r[0], r[1]["features"])):
+            sets[is_toxic].append((np.frombuffer(row["features"], np.int32), row["words"]))
         if not all(sets):
             return pd.DataFrame({"offset": [], "weights": []})
         weights, offset = fit(sets[1], sets[0], prior, seed=key[0])
         return pd.DataFrame({"offset": [offset], "weights": [weights.astype(np.float32).tobytes()]})
 
-    return [tuple(r) for r in toxic.unionByName(unlabelled).groupBy("member")
-            .applyInPandas(member, "offset double, weights binary").collect()]
+    # Texts become feature lists in the tasks that read them; those are brought together.
+    sample = append(toxic.unionByName(unlabelled), "text", "packed", PACKED, lambda: packed)
+    return [tuple(r) for r in sample.select(F.explode("members").alias("member"), "toxic", "packed")
+            .groupBy("member").applyInPandas(member, "offset double, weights binary").collect()]
 
 
 def with_score(docs: DataFrame, members: list[tuple[float, bytes]], text: str = "text",
