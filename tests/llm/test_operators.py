@@ -306,3 +306,20 @@ def test_held_out_is_a_quarter(spark):
     rows = spark.range(400).select("id", held_out("id").alias("h")).collect()
     assert all(r.h == plain(r.id) for r in rows) and 60 < sum(r.h for r in rows) < 140
     assert spark.sql("SELECT cast(null AS bigint) AS id").select(held_out("id")).first()[0] is False
+
+
+def test_long_texts_in_segments(spark, monkeypatch):
+    """Texts cut into segments give what they give in one piece."""
+    rng = random.Random(9)
+    text = "".join(rng.choice("abcdefgh é\n") for _ in range(6_000))
+    docs = [(1, text), (2, text[1_000:4_000] + "z" + text[500:2_500])]
+    one, two = (np.zeros(sum(language.PLACES), np.float32) for _ in range(2))
+    language.presence(text, one)
+    monkeypatch.setattr(language, "SEGMENT", 700)
+    monkeypatch.setattr(suffix_dedup, "SEGMENT", 333)
+    monkeypatch.setattr(sh, "COUNTED", 50)
+    language.presence(text, two)
+    assert (one == two).all() and sh.fingerprint(text) % 2 ** 64 == simhash(text)
+    found = suffix_dedup.without_repeats(spark.createDataFrame(docs, "doc_id long, text string")).select(
+        "doc_id", "cut.n_bytes", "cut.n_removed", "cut.n_spans", F.sha2("cut.kept", 256))
+    assert sorted(map(tuple, found.collect()), key=str) == repeats(docs, 400)

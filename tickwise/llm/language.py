@@ -25,20 +25,22 @@ PLACES = (256, 4096, 8192)
 PER_LANGUAGE, MAX_ROWS, LANDMARKS = 1_000, 20_000, 192
 RIDGE = 1e-3
 SCORED = 256
+#: Bytes of a text that are looked at in one step.
+SEGMENT = 1 << 22
 GUESS = StructType([StructField("lang", StringType(), False), StructField("score", DoubleType(), False)])
 
 
 def presence(text: str, row: np.ndarray) -> None:
     """Mark the n-grams of a text in a row of zeros."""
-    data = np.frombuffer(text.lower().encode(), np.uint8).astype(np.uint32)
-    at, code = 0, data
-    for n, places in enumerate(PLACES, 1):
-        if n > 1:
-            code = code[:-1] * np.uint32(256) + data[n - 1:]
-        if not len(code):
-            return
-        row[at + (code if n == 1 else (code * np.uint32(2654435761) >> np.uint32(16)) % np.uint32(places))] = 1
-        at += places
+    whole = np.frombuffer(text.lower().encode(), np.uint8)
+    for start in range(0, len(whole), SEGMENT):
+        data = whole[start:start + SEGMENT + len(PLACES) - 1].astype(np.uint32)
+        at, code = 0, data
+        for n, places in enumerate(PLACES, 1):
+            if n > 1:
+                code = code[:-1] * np.uint32(256) + data[n - 1:]
+            row[at + (code if n == 1 else (code * np.uint32(2654435761) >> np.uint32(16)) % np.uint32(places))] = 1
+            at += places
 
 
 def matrix(texts: list[str]) -> np.ndarray:

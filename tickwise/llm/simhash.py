@@ -39,7 +39,7 @@ BITS = 64
 TASK_ROWS = 1024
 #: Pairs of fingerprints that a step within a task may look at, at most.
 TASK_PAIRS = 1 << 20
-#: Hashes whose bits are counted at once.
+#: Shingles that are hashed and counted at once.
 COUNTED = 1 << 16
 SEED = 42
 
@@ -60,10 +60,12 @@ def fingerprint(text: str | None, size: int = SHINGLE_WORDS) -> int:
     starts = np.concatenate([[0], ends[:-1]])
     n = max(1, len(words) - size + 1)
     ends = (ends[size - 1:] if len(words) >= size else ends[-1:]) - 1
-    hashed = xxhash.xxh64_intdigest
-    hashes = np.array([hashed(joined[a:b], SEED) for a, b in zip(starts[:n].tolist(), ends.tolist())], "<u8")
-    counts = sum(np.unpackbits(hashes[at:at + COUNTED].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-                 .sum(axis=0, dtype=np.int64) for at in range(0, n, COUNTED))
+    hashed, counts = xxhash.xxh64_intdigest, np.zeros(BITS, np.int64)
+    for at in range(0, n, COUNTED):
+        part = zip(starts[at:min(n, at + COUNTED)].tolist(), ends[at:at + COUNTED].tolist())
+        hashes = np.array([hashed(joined[a:b], SEED) for a, b in part], "<u8")
+        counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(
+            axis=0, dtype=np.int64)
     return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 

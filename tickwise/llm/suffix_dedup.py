@@ -46,6 +46,8 @@ from .common import append
 LENGTH = 400
 SPREAD = 192
 TRIGGER = 12
+#: Starts whose triggers are found at once.
+SEGMENT = 1 << 21
 #: Reaches of one core that one task orders; a core with more is counted.
 TASK_ROWS = 2_000
 _RANDOM = np.random.default_rng(20).integers(1 << 63, size=(256,), dtype=np.uint64)
@@ -93,9 +95,10 @@ def _anchors(batches: Iterator[pa.RecordBatch], length: int, spread: int) -> Ite
     core = length - spread + 1
     for batch in batches:
         for k, doc, data in zip(*(batch.column(c).to_pylist() for c in ("k", "doc", "data"))):
-            t, lo, hi = triggers(data, length, spread)
-            for at in range(0, len(t), 100_000):
-                p, a, b = (x[at:at + 100_000].tolist() for x in (t, lo, hi))
+            # A very long text is cut by starts; a trigger on a cut gets two rows.
+            for at in range(0, len(data) - length + 1, SEGMENT):
+                t, lo, hi = triggers(data[at:at + SEGMENT + length - 1], length, spread)
+                p, a, b = (t + at).tolist(), lo.tolist(), hi.tolist()
                 n = len(p)
                 yield pa.RecordBatch.from_arrays([
                     pa.array(np.full(n, k)), pa.array(np.full(n, doc)),
@@ -251,7 +254,9 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     unlike = met.where("not alike")
     reaches = materialize(unlike.groupBy("core", "reach").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.struct("k", "doc", "t", "lo", "hi")).alias("r")))
-    twice = unlike.join(reaches.where("n > 1").select("core", "reach"), ["core", "reach"], "left_semi").select(*run)
+    # A stage of its own, so that the join may split a reach that many documents share.
+    twice = materialize(unlike.join(reaches.where("n > 1").select("core", "reach"), ["core", "reach"], "left_semi")
+                        .select(*run))
     crowds = materialize(reaches.groupBy("core").agg((F.count(F.lit(1)) > task_rows).alias("crowded")))
     picked = (reaches.join(crowds, "core").select("r.k", "r.doc", F.struct("core", "r.t", "r.lo", "r.hi", "n", "crowded").alias("p"))
               .groupBy("k", "doc").agg(F.collect_list("p").alias("picked")))
@@ -262,7 +267,7 @@ def repeated_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     strings = contexts.where("string is not null")
     often = materialize(strings.groupBy("core", "string").agg(F.sum("n").alias("all")).where("all > 1")
                         .select("core", "string"))
-    counted = strings.where("n = 1").join(often, ["core", "string"], "left_semi").select(*run)
+    counted = materialize(strings.where("n = 1").join(often, ["core", "string"], "left_semi").select(*run))
     return alike.unionByName(twice).unionByName(ordered).unionByName(counted)
 
 
