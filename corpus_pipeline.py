@@ -25,9 +25,12 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Cut each document's lines that are boilerplate of its source."""
+    """Cut each document's lines that are boilerplate of its source.
+
+    The ratio judges sources of every size, a line on five pages at least.
+    """
     bound_batches(spark)
-    cut = line_dedup.drop_boilerplate(docs, out="__cut")
+    cut = line_dedup.drop_boilerplate(docs, min_pages=1, out="__cut")
     values = {"text": F.col("__cut.text"), "n_chars": F.length("__cut.text").cast("long")}
     return cut.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
 
