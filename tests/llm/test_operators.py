@@ -32,6 +32,24 @@ def test_simhash_odd(spark, odd, empty):
     assert sh.near_duplicates(empty).count() == 0
 
 
+def test_simhash_repeated_ids(spark):
+    """Unlike texts under one id are told apart, and so are their neighbours."""
+    rng = random.Random(8)
+    text = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))
+    a, b, c = text(), text(), text()
+    docs = [(1, a), (1, b), (2, a), (3, b), (4, c), (4, a), (4, c), (5, c), (None, text())]
+    assert min((simhash(x) ^ simhash(y)).bit_count() for x, y in ((a, b), (a, c), (b, c))) > 3
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    found = sh.near_duplicates(df)
+    own = {(r.doc_id, r.fp % 2 ** 64): r for r in found.collect()}
+    assert own[2, simhash(a)].root != own[3, simhash(b)].root
+    assert {k: r.component_id for k, r in own.items() if k[0]} == {
+        (i, simhash(t)): {a: 1, b: 1, c: 4}[t] for i, t in docs if i}
+    kept = sorted(tuple(r) for r in sh.one_of_each(df, found).collect() if r.doc_id)
+    assert kept == sorted([(1, a), (1, b), (4, c)])
+    assert sh.one_of_each(df, found).where("doc_id is null").count() == 1
+
+
 def test_decontaminate_odd(spark, odd, empty):
     bench = spark.createDataFrame([(9, "one two"), (10, "one two"), (11, None), (12, ""), (None, "word"), (13, "word word")],
                                   "item_id long, text string")

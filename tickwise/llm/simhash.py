@@ -272,34 +272,41 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
                     size: int = SHINGLE_WORDS, budget: int = BUDGET,
                     task_rows: int = TASK_ROWS) -> DataFrame:
-    """(doc_id, fp, component_id): for each row its fingerprint and the smallest
-    ``doc_id`` reachable over links of at most ``budget`` differing bits.
+    """(doc_id, fp, component_id, root, text_hash): for each row its fingerprint
+    and the smallest ``doc_id`` reachable over links of at most ``budget``
+    differing bits; the lowest fingerprint of the component; xxhash64 of the text.
 
     Equal fingerprints are linked, those of texts without words (zero; null
     texts too) like any other.  A row with a null ``doc_id`` gets the component
     of its fingerprint, or null if no row with an id has that fingerprint; it
-    links nothing itself.  Repeated rows each give a row.
+    links nothing itself.  Repeated rows each give a row; rows of one id with
+    unlike texts aren't linked by it, so two components may share an id.
     """
     rows = materialize(with_fingerprint(docs.select(F.col(doc_id).cast("long").alias("doc_id"),
                                                     F.col(text).alias("text")), "text", "fp", size)
-                       .select("doc_id", "fp"))
-    fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("id")).where("id is not null"))
-    roots = components(links(fps, budget, task_rows))
-    named = (fps.join(roots, "id", "left")
-             .select("fp", F.coalesce("root", "id").alias("component_id")))
-    return rows.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+                       .select("doc_id", "fp", F.xxhash64("text").alias("text_hash")))
+    fps = materialize(rows.groupBy("fp").agg(F.min("doc_id").alias("least")).where("least is not null"))
+    roots = components(links(fps.select("fp", F.col("fp").alias("id")), budget, task_rows))
+    rooted = materialize(fps.join(roots.withColumnRenamed("id", "fp"), "fp", "left")
+                         .select("fp", "least", F.coalesce("root", "fp").alias("root")))
+    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = rooted.join(names, "root").select("fp", "root", "component_id")
+    return rows.join(named, "fp", "left").select("doc_id", "fp", "component_id", "root", "text_hash")
 
 
 def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents whose id is their component's: one of each group.
+    """One document of each component of ``found``: that with the component's id.
 
-    Rows without an id stay.  Of repeated rows with one id, the one whose text
-    has the smallest hash stays.
+    Rows without an id stay.  Of a component's rows with that id, the one whose
+    text has the smallest hash stays.
     """
     columns = docs.columns
     kept = (found.where(F.col("doc_id") == F.col("component_id"))
-            .select(F.col("doc_id").alias("__id")).distinct())
-    staying = docs.join(kept, F.col("doc_id").cast("long") == F.col("__id"), "left_semi")
-    one = (staying.groupBy("doc_id")
-           .agg(F.min_by(F.struct(*columns), F.xxhash64("text")).alias("__row")).select("__row.*"))
+            .groupBy("root").agg(F.min("doc_id").alias("__id"), F.min("text_hash").alias("__hash"))
+            .select("__id", "__hash"))
+    keys = [F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__hash")]
+    staying = docs.select("*", *keys).join(kept, ["__id", "__hash"], "left_semi")
+    # Equal texts of one id lie in one component.
+    one = (staying.groupBy("__id", "__hash")
+           .agg(F.first(F.struct(*columns)).alias("__row")).select("__row.*"))
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
