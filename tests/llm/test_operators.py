@@ -61,6 +61,16 @@ def test_decontaminate_odd(spark, odd, empty):
     assert decontaminate.benchmark_hits(odd, bench.limit(0)).where("size(hits.items) > 0").count() == 0
 
 
+def test_decontaminate_item_without_id(spark):
+    bench = spark.createDataFrame([(None, "red fox"), (None, "red fox"), (7, "blue"), (8, "red fox"), (None, None), (None, "two owls")],
+                                  "item_id long, text string")
+    df = spark.createDataFrame([(1, "a red fox"), (2, "two owls blue"), (3, "two owls"), (4, "owls")], "doc_id long, text string")
+    found = {r.doc_id: r for r in decontaminate.benchmark_hits(df, bench).withColumn("bad", decontaminate.contaminated()).collect()}
+    assert {i: [tuple(s) for s in r.hits.spans] for i, r in found.items()} == {1: [(1, 3)], 2: [(0, 3)], 3: [(0, 2)], 4: []}
+    assert {i: r.hits["items"] for i, r in found.items()} == {1: ["8"], 2: ["7"], 3: [], 4: []}
+    assert {i for i, r in found.items() if r.bad} == {1, 2, 3}
+
+
 def test_toxicity_odd(spark, odd, empty):
     labels = spark.createDataFrame([(1, 1), (5, 1), (5, 1), (6, 0), (8, None), (None, 1), (77, 1)], "doc_id long, toxic int")
     members = toxicity.train(odd, labels)

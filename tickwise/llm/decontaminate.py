@@ -43,7 +43,7 @@ def words_of(text: str | None) -> list[bytes]:
 class WuManber:
     """Shift table and buckets of all patterns of one length in words."""
 
-    def __init__(self, length: int, patterns: dict[tuple, set[str]]):
+    def __init__(self, length: int, patterns: dict[tuple, set[str | None]]):
         self.m, self.block = length, min(2, length)
         self.patterns = patterns
         self.shift: dict[tuple, int] = {}
@@ -69,9 +69,9 @@ class WuManber:
             end += step
 
 
-def tables(items: list[tuple[str, str | None]], window: int = WINDOW) -> list[WuManber]:
+def tables(items: list[tuple[str | None, str | None]], window: int = WINDOW) -> list[WuManber]:
     """One search per pattern length of the items ``(item_id, text)``."""
-    by_length: dict[int, dict[tuple, set[str]]] = {}
+    by_length: dict[int, dict[tuple, set[str | None]]] = {}
     for item, text in items:
         words = words_of(text)
         length = min(window, len(words))
@@ -85,7 +85,7 @@ def find(searches: list[WuManber], text: str | None) -> dict:
     """Word count, maximal runs of hit words and sorted items of one text."""
     words = words_of(text)
     runs: list[tuple[int, int]] = []
-    items: set[str] = set()
+    items: set[str | None] = set()
     for search in searches:
         for at, pattern in search.search(words):
             runs.append((at, at + search.m))
@@ -96,7 +96,7 @@ def find(searches: list[WuManber], text: str | None) -> dict:
             spans[-1]["end"] = max(end, spans[-1]["end"])
         else:
             spans.append({"start": start, "end": end})
-    return {"n_words": len(words), "spans": spans, "items": sorted(items)}
+    return {"n_words": len(words), "spans": spans, "items": sorted(items - {None})}
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text",
@@ -106,13 +106,14 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     hit words (start, end) and the ids ``items`` of the items found, as sorted
     strings.
 
-    ``benchmark`` has item_id and text; rows with a null id or no words match
-    nothing, equal items all count.  A null or empty document has no words and
+    ``benchmark`` has item_id and text; rows without words match nothing, equal
+    items all count.  An item with a null id is searched like any other but not
+    listed in ``items``.  A null or empty document has no words and
     no hits.  Other columns pass through; one named ``out`` is replaced.  A
     benchmark of more than ``max_bytes`` is refused: give it in parts.
     """
-    bench = benchmark.select(F.col("item_id").cast("string"), "text").dropna()
-    size = bench.agg(F.sum(F.octet_length("text") + F.octet_length("item_id"))).first()[0] or 0
+    bench = benchmark.select(F.col("item_id").cast("string"), "text").where("text is not null")
+    size = bench.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item_id"), F.lit(0)))).first()[0] or 0
     if size > max_bytes:
         raise ValueError(f"benchmark of {size} bytes; the bound is {max_bytes}")
     items = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in bench.collect()])
