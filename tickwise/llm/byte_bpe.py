@@ -1,10 +1,11 @@
-"""Byte-level BPE by corpus-level merge replay.
-
-A text is split by the tokenizer's pattern and every distinct piece is encoded
-once for the corpus chunk that a task holds, not once per occurrence.  All
-pieces lie one after another in linked lists of tokens; an inverted index
-leads from a merge rank to the positions whose pair merges at that rank, and
-the merges are replayed over all pieces in rank order.  A merge touches only
+"""Byte-level BPE by merge replay over batches of distinct pieces.
+
+A text is split by the tokenizer's pattern and a task encodes every distinct
+piece once while it keeps it, not once per occurrence; other tasks that meet
+the piece replay it again.  The pieces of a batch lie one after another in
+linked lists of tokens; an inverted index of the batch leads from a merge rank
+to the positions whose pair merges at that rank, and the merges are replayed
+over these pieces in rank order.  A merge touches only
 its two neighbours' pairs, so a piece of n bytes costs O(n log n) however long
 it is.  Nothing is shuffled; a lost task is simply run again.
 """
