@@ -94,4 +94,35 @@ FROM docs LEFT JOIN (
   FROM marked GROUP BY rid
 ) USING (rid)"""
 
-SQL = {"op2_decontaminate": DECONTAMINATE, "op4_url_filter": URL_FILTER, "op5_line_dedup": LINE_DEDUP}
+LEXICAL_SEARCH = rf"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents WHERE text IS NOT NULL
+),
+corpus AS (SELECT count(*) AS docs, CAST(sum(len(w)) AS BIGINT) AS words FROM docs WHERE len(w) > 0),
+held AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(w) AS term FROM docs) GROUP BY rid, term
+),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM held, corpus GROUP BY term
+),
+lengths AS (SELECT rid, doc_id, 100 - 90 + (90 * CAST(len(w) AS BIGINT) * docs) // words AS m FROM docs, corpus WHERE len(w) > 0),
+items AS (
+  SELECT DISTINCT q, item_id, term FROM (
+    SELECT row_number() OVER () AS q, item_id,
+           unnest(regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark WHERE text IS NOT NULL)
+),
+scored AS (
+  SELECT q, item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score
+  FROM items JOIN weights USING (term) JOIN held USING (term) JOIN lengths USING (rid)
+  GROUP BY q, item_id, rid, doc_id
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scored WHERE score > 0)
+WHERE rank <= 10"""
+
+SQL = {"op2_decontaminate": DECONTAMINATE, "op4_url_filter": URL_FILTER, "op5_line_dedup": LINE_DEDUP,
+       "op11_lexical_search": LEXICAL_SEARCH}

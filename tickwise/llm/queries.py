@@ -7,11 +7,13 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import (byte_bpe, decontaminate, fingerprint, language, line_dedup, oracle, sharding, simhash,
-               suffix_dedup, toxicity, url_filter)
+from . import (byte_bpe, decontaminate, fingerprint, language, lexical_search, line_dedup, oracle, piece_bpe, sharding,
+               simhash, suffix_dedup, token_align, toxicity, url_filter)
 from .common import held_out, read
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+BYTE_LEVEL_FILE = public_tokenizers.path("byte_bpe_50k.json")
+PIECE_FILE = public_tokenizers.path("piece_bpe_32k.model")
 
 #: Scores from here on count as toxic.
 TOXIC = 0.3
@@ -27,6 +29,7 @@ URL_RULES = [
 
 
 def rank_file(path: str = RANK_FILE) -> bytes:
+    """The content of a vocabulary file."""
     with open(path, "rb") as f:
         return f.read()
 
@@ -131,8 +134,31 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.ranked(docs, read(spark, sf_dir, "benchmark"))
+
+
+def op12_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of each document, and the text decoded from them."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_bpe.encode_decode(docs, rank_file(PIECE_FILE)).select(
+        "doc_id", F.size("pieces.ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("pieces.ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("pieces.decoded", 256).alias("decoded_sha256"))
+
+
+def op13_token_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links between the tokens of two tokenizers in each document."""
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    aligned = token_align.aligned(docs, rank_file(BYTE_LEVEL_FILE), public_tokenizers.PATTERN, rank_file(PIECE_FILE))
+    return aligned.select("doc_id", *[f"aligned.{c}" for c in (
+        "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")])
+
+
 QUERIES = {f.__name__: f for f in (
     op1_simhash, op2_decontaminate, op3_toxicity, op4_url_filter, op5_line_dedup,
     op6_byte_bpe, op7_language, op8_suffix_dedup, op9_fingerprint,
-    op10_sharding)}
+    op10_sharding, op11_lexical_search, op12_sentencepiece, op13_token_align)}
 ORACLE_SQL = oracle.SQL
