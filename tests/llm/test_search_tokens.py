@@ -163,6 +163,10 @@ def test_pieces_query(spark, sf, documents):
 
 # --- token alignment -----------------------------------------------------------
 
+OTHER = [b for b in range(256) if b not in token_align.PLAIN]
+BYTE_OF = {chr(b): b for b in token_align.PLAIN} | {chr(256 + i): b for i, b in enumerate(OTHER)}
+
+
 def brute_align(docs):
     """Rows of the contract's columns, by sets of byte places."""
     spec = tokenizers.Tokenizer.from_str(BYTE_LEVEL.decode())
@@ -178,7 +182,7 @@ def brute_align(docs):
         spelled = decode.decode(a.tokens)
         if text and spelled == " " + text and b"".join(shown) == data:
             ends, cover = [], []
-            for ids, sizes in ((a.ids, [len(bytes_of(t)) for t in a.tokens]), (b, map(len, shown))):
+            for ids, sizes in ((a.ids, [len(bytes(map(BYTE_OF.get, t))) for t in a.tokens]), (b, map(len, shown))):
                 at, own_ends, own_cover = 0, [], []
                 for n, size in enumerate(sizes):
                     own_cover += [n] * size
@@ -205,13 +209,6 @@ def brute_align(docs):
                     sha(told) if told else "") for (d, _), (na, nb, own, told, ng) in zip(docs, links)), key=str)
 
 
-def bytes_of(token):
-    value = {chr(b): b for b in token_align.PLAIN}
-    rest = [b for b in range(256) if b not in token_align.PLAIN]
-    value |= {chr(256 + i): b for i, b in enumerate(rest)}
-    return bytes(value[c] for c in token)
-
-
 def flat(df):
     return sorted((tuple(r) for r in df.select("doc_id", *[f"aligned.{c}" for c in (
         "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")]).collect()), key=str)
