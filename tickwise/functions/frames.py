@@ -7,6 +7,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .slices import POS, SLICE, numbered, segmented_scan
+
 
 def densify_daily(df: DataFrame, order: str = "date", key: str | list[str] | None = None,
                   until_next: bool = True) -> DataFrame:
@@ -33,45 +35,20 @@ def ffill_by_time(df: DataFrame, cols: list[str], order: str = "date",
     """Forward fill ``cols`` along ``order`` for a table without a partition key
     (a calendar), without moving the table into one task.
 
-    Rows are split into time buckets (calendar years by default).  Each bucket
-    is filled on its own (a window per bucket); the value carried into a
-    bucket is the last non-null value of all earlier buckets, computed from
-    one summary row per bucket (``max(struct(date, v))`` skips NULLs).  Only
-    that summary -- one row per year -- is ordered globally.
+    Time buckets (calendar years by default) are the slices of a segmented scan
+    (:mod:`.slices`): each is filled on its own, and only a summary with one row
+    per bucket is ordered globally.
     """
     bucket = bucket if bucket is not None else F.year(F.col(order))
-    d = df.withColumn("_bk", bucket)
-    wb = (Window.partitionBy("_bk").orderBy(order)
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = d.select(*[c for c in d.columns if c not in cols],
-                     *[F.last(c, ignorenulls=True).over(wb).alias(c) for c in cols])
-    ends = d.groupBy("_bk").agg(*[
-        F.max(F.when(F.col(c).isNotNull(), F.struct(F.col(order).alias("t"), F.col(c).alias("v"))))
-        .getField("v").alias(c) for c in cols])
-    wc = Window.orderBy("_bk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select("_bk", *[F.last(c, ignorenulls=True).over(wc).alias(f"_c_{c}")
-                                 for c in cols])
-    out = inner.join(carry, "_bk", "left")
-    return out.select(*[F.coalesce(F.col(c), F.col(f"_c_{c}")).alias(c) if c in cols
-                        else F.col(c) for c in df.columns])
+    return (segmented_scan(df.withColumn("_bk", bucket), {c: ("last", c) for c in cols}, [], order, "_bk", written=True)
+            .select(*df.columns))
 
 
 def distributed_index(df: DataFrame, order: str, out: str = "idx") -> DataFrame:
     """0-based position of each row in ``order`` (distinct values), without
     moving the table into one partition.
 
-    Rows are range partitioned on ``order`` and numbered inside each slice;
-    a slice's offset is the number of rows in earlier slices, taken from a
-    table with one row per slice.  The slice ids are checkpointed once so
-    every branch reads the same ids.
+    Rows are numbered inside range slices; a slice's offset is the number of rows
+    in earlier ones (:func:`.slices.numbered`).
     """
-    from ..session import materialize
-    ranged = materialize(df.repartitionByRange(order)
-                         .withColumn("_pid", F.spark_partition_id()))
-    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
-    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0))
-                           .alias("_off"))
-    local = F.row_number().over(Window.partitionBy("_pid").orderBy(order)) - 1
-    out_df = ranged.join(offsets, "_pid")
-    return out_df.withColumn(out, (F.col("_off") + local).cast("bigint")).drop("_pid", "_off")
+    return numbered(df, [], order).withColumn(out, F.col(POS).cast("bigint")).drop(POS, SLICE)

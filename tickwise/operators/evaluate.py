@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.slices import segmented_scan, sliced
+
 # Fixed values of the reference's cut-off grid (numpy.linspace semantics:
 # t_i = i * ((hi - lo) / (n - 1)) + lo, last point exactly hi).
 SWEEP_LO, SWEEP_HI, SWEEP_N = 0.05, 0.95, 50
@@ -161,31 +163,16 @@ def roc_auc(scored: DataFrame, key="symbol", label="label", score="p") -> DataFr
     ``AUC = sum_v n1(v) * (N0(< v) + n0(v) / 2) / (P * N)`` over distinct
     scores ``v``.  Ties are aggregated first (one row per symbol and distinct
     score, partial aggregation).  The running count of negatives below each
-    score is a distributed prefix sum: the distinct-score rows are range
-    partitioned on ``(symbol, score)``; each slice sums locally; the offset
-    of a slice is the sum of the earlier slices of the same symbol, taken
-    from a table with one row per slice and symbol.  A symbol with a third
-    of all rows is therefore spread over many slices instead of one sorted
-    window partition.  The slice ids are written once (checkpoint) so every
-    branch sees the same ids.  NULL when a class is absent.
+    score is a segmented scan (:mod:`tickwise.functions.slices`): a symbol with a
+    third of all rows is spread over many slices instead of one sorted window
+    partition.  NULL when a class is absent.
     """
-    from ..session import materialize
     ties = (scored.where(F.col(score).isNotNull())
             .groupBy(key, F.col(score).alias("_v"))
             .agg(F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).cast("double").alias("_n1"),
                  F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).cast("double").alias("_n0")))
-    # the slice id must be the same in both branches that read it, so the
-    # range-partitioned ties are checkpointed once with the id as data
-    ranged = materialize(ties.repartitionByRange(key, "_v")
-                         .withColumn("_pid", F.spark_partition_id()))
-    slices = ranged.groupBy("_pid", key).agg(F.sum("_n0").alias("_t0"))
-    before = Window.partitionBy(key).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = slices.select("_pid", key, F.coalesce(F.sum("_t0").over(before), F.lit(0.0))
-                            .alias("_off"))
-    local = (Window.partitionBy("_pid", key).orderBy("_v")
-             .rowsBetween(Window.unboundedPreceding, -1))
-    d = ranged.join(offsets, ["_pid", key])
-    below = F.col("_off") + F.coalesce(F.sum("_n0").over(local), F.lit(0.0))
+    d = segmented_scan(sliced(ties, key, "_v"), {"_below": ("sum", "_n0", True)}, key, "_v", written=True)
+    below = F.coalesce(F.col("_below"), F.lit(0.0))
     contrib = d.select(key, "_n1", "_n0", (F.col("_n1") * (below + F.col("_n0") / 2)).alias("_c"))
     agg = contrib.groupBy(key).agg(F.sum("_c").alias("_s"), F.sum("_n1").alias("_p"),
                                    F.sum("_n0").alias("_n"))

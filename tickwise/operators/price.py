@@ -25,6 +25,8 @@ PRICE_FEATURES = (
     "lag_ret_1", "lag_ret_5", "lag_ret_10", "skew_3m", "kurt_3m",
     "price_vs_sma50", "price_vs_sma200",
 )
+#: Rows back that a feature reaches: 252 returns, each of two closes, shifted by one.
+PRICE_REACH = 253
 
 
 def daily_return(df: DataFrame, key="symbol", order="date", pad: bool = True) -> DataFrame:
@@ -33,21 +35,24 @@ def daily_return(df: DataFrame, key="symbol", order="date", pad: bool = True) ->
 
 
 def price_features(bars: DataFrame, key="symbol", order="date",
-                   sharpe_eps: float = 1e-6) -> DataFrame:
+                   sharpe_eps: float = 1e-6, padded: str | None = None) -> DataFrame:
     """Add the 17 price/volume features of the reference to ``bars``.
 
     ``bars`` needs ``key, order, close, volume``.  Window lengths are those
     of the reference (21/63/252 rows for 1m/3m/12m, 50/200 for the SMAs).
+    ``padded``: a column that holds the forward-filled close, which changes are
+    taken of; without it the fill is a window here.
     """
     w = panel_window(key, order)
+    changed, pad = padded or "close", padded is None
     base = bars.columns
     # stage 1: one-step inputs (daily return, k-row changes)
     s1 = bars.select(
         *base,
-        pct_change("close", 1, w, pad=True).alias("_ret"),
-        pct_change("close", 21, w, pad=True).alias("_chg21"),
-        pct_change("close", 5, w, pad=True).alias("lag_ret_5"),
-        pct_change("close", 10, w, pad=True).alias("lag_ret_10"),
+        pct_change(changed, 1, w, pad=pad).alias("_ret"),
+        pct_change(changed, 21, w, pad=pad).alias("_chg21"),
+        pct_change(changed, 5, w, pad=pad).alias("lag_ret_5"),
+        pct_change(changed, 10, w, pad=pad).alias("lag_ret_10"),
         F.max("close").over(w.rowsBetween(-62, 0)).alias("_runmax63"),
     )
     # stage 2: trailing aggregates over the current row (not yet shifted)

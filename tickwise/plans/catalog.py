@@ -494,3 +494,8 @@ def gbt_search(spark, sf_dir):
     out = T.scores_with_cutoff(model, test, feats, cut)
     return round_cols(out.withColumn("best_max_iter", F.lit(int(best["maxIter"])))
                          .withColumn("best_max_depth", F.lit(int(best["maxDepth"]))))
+
+
+from . import catalog_long  # noqa: E402  more queries, registered here
+
+QUERIES.update(catalog_long.QUERIES)

@@ -838,4 +838,6 @@ FROM labelled GROUP BY symbol"""
     q["bars_filtered"] = (with_ctes(BARS) + "\n" + select_rounded("bars", ["symbol", "date"], bar_cols)
                           + " WHERE symbol IN ('ASIA', 'EUROPE') AND date BETWEEN DATE '1994-03-01' AND DATE '1997-02-28'")
     q["features_round_trip"] = price_query(["close", *PRICE_OUT])
+    from . import oracle_long
+    q.update(oracle_long.build())
     return q

@@ -84,15 +84,11 @@ def supplier_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("s_suppkey", F.col("r_name").alias("symbol")))
 
 
-def bars_daily(spark: SparkSession, sf_dir: str, symbols: list[str] | None = None,
-               start: str | None = None, end: str | None = None) -> DataFrame:
-    """Daily bars from line items: symbol = supplier region, date = ship date,
-    price = extended price / quantity, volume = quantity.
-
-    ``(l_orderkey, l_linenumber)`` is not unique in the landed data, so the
-    open/close order is ``(l_orderkey, l_linenumber, l_partkey, px)``.
-    ``start``/``end`` (inclusive) are pushed into the Parquet scan.
-    """
+def trades(spark: SparkSession, sf_dir: str, symbols: list[str] | None = None,
+           start: str | None = None, end: str | None = None) -> DataFrame:
+    """Line items as trades: the columns read, ``symbol`` (supplier region) and
+    the price ``px`` (extended price / quantity).  ``start``/``end`` (inclusive)
+    are pushed into the Parquet scan."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
         "l_extendedprice", "l_shipdate")
@@ -105,15 +101,26 @@ def bars_daily(spark: SparkSession, sf_dir: str, symbols: list[str] | None = Non
     if symbols is not None:
         sup = sup.where(F.col("symbol").isin(list(symbols)))
     sup = broadcast_if_small(sup, read_table(spark, sf_dir, "supplier"))
-    trades = li.join(sup, li.l_suppkey == sup.s_suppkey)
-    px = F.try_divide(F.col("l_extendedprice"), F.col("l_quantity"))
+    joined = li.join(sup, li.l_suppkey == sup.s_suppkey)
+    return joined.withColumn("px", F.try_divide(F.col("l_extendedprice"), F.col("l_quantity")))
+
+
+def bars_daily(spark: SparkSession, sf_dir: str, symbols: list[str] | None = None,
+               start: str | None = None, end: str | None = None) -> DataFrame:
+    """Daily bars from line items: symbol = supplier region, date = ship date,
+    price = extended price / quantity, volume = quantity.
+
+    ``(l_orderkey, l_linenumber)`` is not unique in the landed data, so the
+    open/close order is ``(l_orderkey, l_linenumber, l_partkey, px)``.
+    ``start``/``end`` (inclusive) are pushed into the Parquet scan.
+    """
     return build_bars(
-        trades,
+        trades(spark, sf_dir, symbols, start, end),
         symbol=F.col("symbol"),
         ts=F.to_date(F.col("l_shipdate")),
-        price=px,
+        price=F.col("px"),
         qty=F.col("l_quantity"),
-        order_by=[F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), px],
+        order_by=[F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("px")],
     )
 
 
@@ -137,3 +144,27 @@ def bars_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
         qty=F.lit(1.0),
         order_by=[F.col("ts"), F.col("event_id")],
     )
+
+
+def bars_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Minute bars of all events as one symbol, ``ALL``: one very long series."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    ts = F.col("ts")
+    return build_bars(
+        ev,
+        symbol=F.lit("ALL"),
+        ts=F.make_timestamp_ntz(F.year(ts), F.month(ts), F.dayofmonth(ts), F.hour(ts), F.minute(ts), F.lit(0)),
+        price=F.col("value"),
+        qty=F.lit(1.0),
+        order_by=[ts, F.col("event_id")],
+    )
+
+
+def event_reports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reports at the grain of timestamps: per event type and quarter of a day,
+    published with its last event ``(symbol, published_at, n_events, mean_value)``."""
+    ev = read_table(spark, sf_dir, "events").select("ts", "event_type", finite("value").alias("value"))
+    return (ev.where("value is not null and ts is not null")
+            .groupBy(F.col("event_type").alias("symbol"), F.to_date("ts").alias("day"), F.expr("hour(ts) div 6").alias("part"))
+            .agg(F.max("ts").alias("published_at"), F.count(F.lit(1)).alias("n_events"), F.avg("value").alias("mean_value"))
+            .drop("day", "part"))
