@@ -87,3 +87,88 @@ def test_embargo_drops_the_last_training_rows(spark):
     whole, cut = (T.training_frame(panel, ["x1"], embargo_rows=n).groupBy("symbol").agg({"date": "max", "*": "count"}).collect()
                   for n in (0, 63))
     assert all(a["count(1)"] - b["count(1)"] == 63 and a["max(date)"] > b["max(date)"] for a, b in zip(sorted(whole), sorted(cut)))
+
+
+def test_search_goes_on_where_it_was_lost(spark, monkeypatch):
+    """A restart repeats no finished fit, and ends as an undisturbed search does."""
+    train = T.training_frame(_panel(spark, n=120), ["x1", "x2"])
+    space, path = {"maxIter": [2, 3], "maxDepth": [2, 3]}, tempfile.mkdtemp(prefix="tickwise-search-")
+    search = lambda **kw: T.random_search(train, ["x1", "x2"], space, n_iter=2, n_splits=2, parallelism=1, **kw)[:2]
+    whole = search()
+    fitted, write = [], T.SearchResults.write
+
+    def lost(self, draw, fold, *rest):
+        if len(fitted) == 3:
+            raise RuntimeError("lost")
+        fitted.append((draw, fold))
+        write(self, draw, fold, *rest)
+
+    monkeypatch.setattr(T.SearchResults, "write", lost)
+    try:
+        search(results=path)
+        raise AssertionError("the search should have been lost")
+    except RuntimeError:
+        pass
+    again = []
+    monkeypatch.setattr(T.SearchResults, "write", lambda self, draw, fold, *rest: (again.append((draw, fold)),
+                                                                                  write(self, draw, fold, *rest)))
+    assert search(results=path) == whole
+    assert len(fitted) == 3 and len(again) == 1 and not set(again) & set(fitted)
+    again.clear()
+    assert search(results=path) == whole and not again
+    assert search(results=path, embargo_rows=5) != () and len(again) == 4  # another search shares nothing
+
+
+def test_search_stops_early(spark):
+    train = T.training_frame(_panel(spark, n=200), ["x1", "x2"])
+    path = tempfile.mkdtemp(prefix="tickwise-search-")
+    T.random_search(train, ["x1", "x2"], {"maxIter": [40], "maxDepth": [4]}, n_iter=1, n_splits=2, results=path,
+                    validation_share=0.3, validation_tol=0.01)
+    rows = spark.read.option("basePath", path).parquet(path + "/*").collect()
+    assert len(rows) == 2 and all(r.rounds < 40 for r in rows)
+
+
+def test_out_of_fold_scores_see_no_later_date(spark):
+    """Labels that say nothing are not told from other dates, and changing a later
+    row changes no earlier score."""
+    rng = np.random.default_rng(3)
+    rows = [(s, dt.date(2020, 1, 1) + dt.timedelta(days=i), float(rng.normal()), int(rng.random() < 0.5), "train")
+            for s in "AB" for i in range(200)]
+    schema = "symbol string, date date, x1 double, target_3m int, split string"
+    train = T.training_frame(spark.createDataFrame(rows, schema), ["x1"])
+    params = {"maxIter": 15, "maxDepth": 8, "minInstancesPerNode": 1, "stepSize": 0.5}
+    scores = T.out_of_fold_scores(train, ["x1"], params, n_splits=4, embargo_rows=3).toPandas()
+    assert len(scores) == 2 * 160 and sorted(scores.test_fold.unique()) == [0, 1, 2, 3]
+    hit = ((scores.p > 0.5) == (scores.label == 1)).mean()
+    assert hit < 0.62
+    changed = [r if r[1] < dt.date(2020, 6, 1) else (*r[:2], r[2] + 5, 1 - r[3], r[4]) for r in rows]
+    other = T.training_frame(spark.createDataFrame(changed, schema), ["x1"], weighted=False, class_scale=False)
+    plain = T.training_frame(spark.createDataFrame(rows, schema), ["x1"], weighted=False, class_scale=False)
+    a, b = (T.out_of_fold_scores(x, ["x1"], params, n_splits=4).toPandas().sort_values(["symbol", "date"]) for x in (plain, other))
+    early = (a.test_fold < 3).to_numpy()
+    np.testing.assert_allclose(a.p.to_numpy()[early], b.p.to_numpy()[early])
+    cut = T.out_of_fold_cutoffs(train, ["x1"], params, n_splits=2).collect()
+    assert {r.symbol for r in cut} == {"A", "B"} and all(0.05 <= r.threshold <= 0.95 for r in cut)
+
+
+def test_upsert_touches_one_day(spark):
+    """Only the partition of the day is written again, and windows by symbol read
+    the table without an exchange."""
+    import os
+    from pyspark.sql import functions as F
+    from tickwise.functions.columns import panel_window
+    panel = _panel(spark, n=12).withColumn("day", F.col("date"))
+    path, name = tempfile.mkdtemp(prefix="tickwise-table-") + "/t", "upserted_features"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    T.upsert_features(panel, name, path, buckets=4)
+    files = lambda: {d: sorted(f for f in os.listdir(f"{path}/{d}") if f.endswith(".parquet"))
+                     for d in os.listdir(path) if d.startswith("day=")}
+    before = files()
+    T.upsert_features(panel.where("day = '2020-01-05'").withColumn("x1", F.lit(9.0)), name, path, buckets=4)
+    after = files()
+    assert len(before) == 12 and [d for d in before if before[d] != after[d]] == ["day=2020-01-05"]
+    table = spark.table(name)
+    assert table.count() == panel.count() and table.where("x1 = 9").count() == 2
+    plan = table.withColumn("last", F.lag("x1").over(panel_window()))._jdf.queryExecution().executedPlan().toString()
+    assert "Window" in plan and "Exchange" not in plan
+    spark.sql(f"DROP TABLE {name}")

@@ -77,7 +77,7 @@ def segmented_scan(df: DataFrame, scans: dict[str, tuple], key, order, slice_col
     ``df`` is read twice, so it is written first unless it is ``written`` already.
     """
     keys, by = names(key), names(order)
-    scans = {out: (kind, F.col(v) if isinstance(v, str) else v, bool(rest)) for out, (kind, v, *rest) in scans.items()}
+    scans = {out: (kind, F.col(v) if isinstance(v, str) else v, any(rest)) for out, (kind, v, *rest) in scans.items()}
     rows = (df if written else materialize(df)).withColumns({f"_v_{out}": v for out, (_, v, _) in scans.items()})
     part = Window.partitionBy(*keys, slice_col).orderBy(*by)
     end = lambda without: part.rowsBetween(Window.unboundedPreceding, -1 if without else Window.currentRow)

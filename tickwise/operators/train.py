@@ -14,7 +14,10 @@ files rather than the whole lineage.
 
 from __future__ import annotations
 
+import hashlib
 import itertools
+import json
+import math
 import random
 from concurrent.futures import ThreadPoolExecutor
 
@@ -22,7 +25,7 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.feature import Imputer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
@@ -128,10 +131,55 @@ def sample_params(space: dict = SEARCH_SPACE, n_iter: int = 40, seed: int = 42)
     return [dict(zip(keys, grid[i])) for i in picks]
 
 
+def _fold_rows(data: DataFrame, fold: int, embargo_rows: int) -> tuple[DataFrame, DataFrame]:
+    """(train, test) of a walk-forward fold: training ends ``embargo_rows`` dates
+    before the first date that is tested, whose labels it would look into."""
+    first = data.where(F.col("test_fold") == fold).agg(F.min("date_idx")).first()[0] or 0
+    return (data.where((F.col("test_fold") < fold) & (F.col("date_idx") < first - embargo_rows)),
+            data.where(F.col("test_fold") == fold))
+
+
+def _held_back(fold_train: DataFrame, share: float, embargo_rows: int) -> DataFrame:
+    """Marks the last ``share`` of a fold's training dates in ``_check``, for early
+    stopping; the ``embargo_rows`` dates before them are left out."""
+    top = fold_train.agg(F.max("date_idx"), F.min("date_idx")).first()
+    if top[0] is None:
+        return fold_train.withColumn("_check", F.lit(False))
+    first = math.ceil(top[0] - share * (top[0] - top[1]))
+    return (fold_train.where((F.col("date_idx") >= first) | (F.col("date_idx") < first - embargo_rows))
+            .withColumn("_check", F.col("date_idx") >= first))
+
+
+class SearchResults:
+    """The finished fits of a search as a table (draw, fold, params, f1, rounds).
+
+    Every fit is written as a folder of its own when it ends, below a name that
+    depends on all that the fits depend on; a later run of the same search reads
+    what is there and fits the rest.  A fit that was cut off leaves no rows.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, setting: dict):
+        name = hashlib.sha256(json.dumps(setting, sort_keys=True).encode()).hexdigest()[:16]
+        self.spark, self.path = spark, f"{path.rstrip('/')}/{name}"
+
+    def read(self) -> dict[tuple[int, int], float]:
+        folder = self.spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        if not folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(folder):
+            return {}
+        rows = self.spark.read.schema("f1 double, rounds int, params string, draw int, fold int").parquet(self.path)
+        return {(r.draw, r.fold): r.f1 for r in rows.collect()}
+
+    def write(self, draw: int, fold: int, params: dict, f1: float, rounds: int) -> None:
+        row = self.spark.createDataFrame([(f1, rounds, json.dumps(params, sort_keys=True))],
+                                         "f1 double, rounds int, params string")
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.path}/draw={draw}/fold={fold}")
+
+
 def random_search(train: DataFrame, features: list[str], space: dict = SEARCH_SPACE,
                   n_iter: int = 40, n_splits: int = 5, seed: int = 42, parallelism: int = 4,
-                  weight: str | None = "weight",
-                  embargo_rows: int = 0) -> tuple[dict, float, PipelineModel]:
+                  weight: str | None = "weight", embargo_rows: int = 0, results: str | None = None,
+                  validation_share: float = 0.0,
+                  validation_tol: float = 0.001) -> tuple[dict, float, PipelineModel]:
     """M4: mean F1 (cut-off 0.5) over walk-forward folds for ``n_iter`` sampled
     parameter sets, then a refit of the best on all training rows.
 
@@ -139,41 +187,95 @@ def random_search(train: DataFrame, features: list[str], space: dict = SEARCH_SP
     ``embargo_rows`` dates before a test fold train nothing, since their labels
     look into it.  Imputer and assembler are fitted once a fold.  Fits are
     independent Spark jobs, submitted from a small thread pool.
+
+    ``results``: a folder that all executors share, where each finished fit is
+    kept (:class:`SearchResults`); a search that was lost goes on from there.
+    ``validation_share``: that share of a fold's training dates, its last ones,
+    trains nothing but tells when more rounds improve the loss by less than
+    ``validation_tol``, so the rounds of a draw are an upper bound.
     """
+    spark = train.sparkSession
     data, flags = add_missing_flags(train, features)
     data = materialize(pooled_walk_forward_folds(data, n_splits))
     w = weight if (weight and weight in data.columns) else None
     cands = sample_params(space, n_iter, seed)
-
-    folds = []
-    for k in range(n_splits):
-        first = data.where(F.col("test_fold") == k).agg(F.min("date_idx")).first()[0] or 0
-        fold_train = data.where((F.col("test_fold") < k) & (F.col("date_idx") < first - embargo_rows))
-        fold_test = data.where(F.col("test_fold") == k)
+    kept = None
+    if results:
+        count = data.agg(F.count(F.lit(1)), F.sum(F.xxhash64(*data.columns).cast("decimal(38,0)"))).first()
+        kept = SearchResults(spark, results, {
+            "space": space, "n_iter": n_iter, "n_splits": n_splits, "seed": seed, "features": features, "weight": w,
+            "embargo": embargo_rows, "validation": [validation_share, validation_tol], "rows": [str(x) for x in count]})
+    done = kept.read() if kept else {}
+
+    folds = {}
+    for k in sorted({k for i in range(len(cands)) for k in range(n_splits) if (i, k) not in done}):
+        fold_train, fold_test = _fold_rows(data, k, embargo_rows)
         # early folds may not have seen some inputs yet (e.g. a macro series
         # that starts later): a fold's model uses the inputs observed in its
         # own training rows only
         fk = usable_features(fold_train, features)
         prepare = gbt_pipeline(fk, [f"{c}_missing" for c in fk], {}, weight=w, seed=seed).getStages()[:-1]
         ready = Pipeline(stages=prepare).fit(fold_train)
-        folds.append(tuple(materialize(ready.transform(x).select("features", "label", *([w] if w else [])))
-                           for x in (fold_train, fold_test)))
-
-    def run(params: dict) -> float:
-        scores = []
-        for fold_train, fold_test in folds:
-            m = gbt_pipeline([], [], params, weight=w, seed=seed).getStages()[-1].fit(fold_train)
-            pr = m.transform(fold_test).withColumn("pred", F.col("prediction").cast("int"))
-            f1 = f1_score(pr.withColumn("symbol", F.lit("*"))).first()["f1"]
-            scores.append(f1)
-        return sum(scores) / len(scores)
-
+        if validation_share:
+            fold_train = _held_back(fold_train, validation_share, embargo_rows)
+        own = ["features", "label", *([w] if w else [])]
+        folds[k] = (materialize(ready.transform(fold_train).select(*own, *(["_check"] if validation_share else []))),
+                    materialize(ready.transform(fold_test).select(*own)))
+
+    def run(task: tuple[int, int]) -> float:
+        i, k = task
+        fold_train, fold_test = folds[k]
+        gbt = gbt_pipeline([], [], cands[i], weight=w, seed=seed).getStages()[-1]
+        if validation_share:
+            gbt = gbt.setValidationIndicatorCol("_check").setParams(validationTol=validation_tol)
+        m = gbt.fit(fold_train)
+        pr = m.transform(fold_test).withColumn("pred", F.col("prediction").cast("int"))
+        row = f1_score(pr.withColumn("symbol", F.lit("*"))).first()
+        f1 = row["f1"] if row else 0.0
+        if kept:
+            kept.write(i, k, cands[i], f1, m.getNumTrees)
+        return f1
+
+    todo = [(i, k) for i in range(len(cands)) for k in range(n_splits) if (i, k) not in done]
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as ex:
-        results = list(ex.map(run, cands))
-    best_i = max(range(len(cands)), key=lambda i: (results[i], -i))
+        done |= dict(zip(todo, ex.map(run, todo)))
+    means = [sum(done[i, k] for k in range(n_splits)) / n_splits for i in range(len(cands))]
+    best_i = max(range(len(cands)), key=lambda i: (means[i], -i))
     best = cands[best_i]
     model = gbt_pipeline(features, flags, best, weight=w, seed=seed).fit(data)
-    return best, results[best_i], model
+    return best, means[best_i], model
+
+
+def out_of_fold_scores(train: DataFrame, features: list[str], params: dict | None = None, n_splits: int = 5,
+                       embargo_rows: int = 0, weight: str | None = "weight", seed: int = 42) -> DataFrame:
+    """``(symbol, date, label, p, test_fold)``: each training row of a walk-forward
+    fold, scored by a model that was fitted on earlier dates only (M2 folds of
+    the pooled calendar, ``embargo_rows`` dates apart).  The rows ahead of the
+    first fold are scored by none and have no row here."""
+    data, _ = add_missing_flags(train, features)
+    data = materialize(pooled_walk_forward_folds(data, n_splits))
+    w = weight if (weight and weight in data.columns) else None
+    out = None
+    for k in range(n_splits):
+        fold_train, fold_test = _fold_rows(data, k, embargo_rows)
+        fk = usable_features(fold_train, features)
+        if not fk:  # too little history ahead of this fold
+            continue
+        model = gbt_pipeline(fk, [f"{c}_missing" for c in fk], dict(DEFAULT_PARAMS if params is None else params),
+                             weight=w, seed=seed).fit(fold_train)
+        own = model.transform(fold_test).withColumn("p", vector_to_array("probability").getItem(1)).select(
+            "symbol", "date", "label", "p", "test_fold")
+        out = own if out is None else out.unionByName(own)
+    if out is None:
+        raise ValueError("no fold has training rows")
+    return materialize(out)
+
+
+def out_of_fold_cutoffs(train: DataFrame, features: list[str], params: dict | None = None, n_splits: int = 5,
+                        embargo_rows: int = 0, weight: str | None = "weight") -> DataFrame:
+    """M6 on unseen rows: the best F1 threshold per symbol over out-of-fold scores."""
+    scores = out_of_fold_scores(train, features, params, n_splits, embargo_rows, weight)
+    return best_threshold(scores.select("symbol", "label", "p"))
 
 
 def tuned_cutoffs(model: PipelineModel, train: DataFrame, features: list[str]) -> DataFrame:
@@ -235,3 +337,27 @@ def write_features(df: DataFrame, path: str, partition_by: str = "symbol") -> st
     """Feature / metric sink, partitioned by symbol."""
     df.repartition(partition_by).write.mode("overwrite").partitionBy(partition_by).parquet(path)
     return path
+
+
+def upsert_features(df: DataFrame, table: str, path: str, day: str = "day", order: str = "date", key: str = "symbol",
+                    buckets: int = 16) -> str:
+    """S7, incremental: ``df`` into an external table at ``path`` (a shared folder),
+    partitioned by the column ``day``, bucketed by ``key`` and sorted.
+
+    The first call makes the table.  Later ones replace just the partitions whose
+    days occur in ``df``; others keep their files.  All partitions share the
+    buckets, so windows and joins on ``key`` read the table without an exchange.
+    """
+    spark = df.sparkSession
+    if not spark.catalog.tableExists(table):
+        (df.repartition(buckets, key).write.format("parquet").option("path", path).partitionBy(day)
+         .bucketBy(buckets, key).sortBy(key, order).saveAsTable(table))
+        return table
+    before = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        columns = spark.table(table).columns  # partitions come last, as insertInto expects
+        df.select(*columns).repartition(buckets, key).write.insertInto(table, overwrite=True)
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", before)
+    return table

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ffill, panel_window, round_cols
-from ..session import materialize
+from ..session import materialize, shared
 from . import panel as PN
 from ..operators import evaluate as E
 from ..operators import fundamentals as FU
@@ -320,7 +320,8 @@ def roc_auc(spark, sf_dir):
 
 def _panel_corr(spark, sf_dir):
     """Correlation of every model input with the label, on training rows."""
-    panel = S.temporal_split(build_panel(spark, sf_dir), SPLIT_DATE)
+    panel = shared(spark, "split_panel_zero", panel_tables(sf_dir), lambda: S.temporal_split(
+        build_panel(spark, sf_dir), SPLIT_DATE))
     train = panel.where(F.col("split") == "train")
     return E.label_correlation(train, PN.feature_columns(train))
 
@@ -404,6 +405,10 @@ def first_available_alias(spark, sf_dir):
 # ------------------------------------------------------------------ step 9
 
 
+def panel_tables(sf_dir):
+    return [f"{sf_dir}/{t}.parquet" for t in ("lineitem", "orders", "customer", "supplier", "nation", "region")]
+
+
 def build_panel(spark, sf_dir, tail="zero"):
     """The flagship panel from the landed tables: bars, macro calendar,
     statements and two benchmarks.  The three small inputs are materialised
@@ -422,8 +427,9 @@ def feature_panel(spark, sf_dir):
 # ------------------------------------------------------------------ step 12
 
 def split_panel(spark, sf_dir):
-    """Training panel (tail labels NULL, not 0), split, written once."""
-    return materialize(S.temporal_split(build_panel(spark, sf_dir, tail="null"), SPLIT_DATE))
+    """Training panel (tail labels NULL, not 0), split, written once a session."""
+    return shared(spark, "split_panel", panel_tables(sf_dir), lambda: S.temporal_split(
+        build_panel(spark, sf_dir, tail="null"), SPLIT_DATE))
 
 
 @query("training_frame")
@@ -496,6 +502,17 @@ def gbt_search(spark, sf_dir):
                          .withColumn("best_max_depth", F.lit(int(best["maxDepth"]))))
 
 
+@query("oof_cutoffs")
+def oof_cutoffs(spark, sf_dir):
+    """M6 on unseen rows: cut-offs per symbol from scores of walk-forward folds,
+    each fitted (20 rounds) on the dates before it."""
+    panel = split_panel(spark, sf_dir)
+    train = T.training_frame(panel, PN.feature_columns(panel), embargo_rows=EMBARGO_ROWS)
+    feats = T.usable_features(train, PN.feature_columns(panel))
+    cut = T.out_of_fold_cutoffs(train, feats, T.DEFAULT_PARAMS | {"maxIter": 20}, n_splits=3, embargo_rows=EMBARGO_ROWS)
+    return round_cols(cut)
+
+
 from . import catalog_long  # noqa: E402  more queries, registered here
 
 QUERIES.update(catalog_long.QUERIES)

@@ -4,6 +4,7 @@ of :mod:`tickwise.plans.catalog`."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,12 @@ from ..functions.columns import round_cols
 from ..functions.selection import exact_percentile
 from ..operators import long_series as LS
 from ..operators import price as P
+from ..operators import train as T
 from ..operators.asof import asof_join
+from ..session import ensure_checkpoint_dir, materialize
 from ..sources import bars as B
+from ..sources import landed as LD
+from ..sources import macro as SM
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 KEYS = ["symbol", "date"]
@@ -84,3 +89,40 @@ def asof_reports(spark, sf_dir):
     reports = B.event_reports(spark, sf_dir).withColumn("known_at", F.col("published_at") + F.expr("INTERVAL 90 MINUTES"))
     out = asof_join(bars, reports, "symbol", "date", "known_at").drop("known_at")
     return round_cols(out.withColumn("n_events", F.col("n_events").cast("double")))
+
+
+def _landed_series(spark, sf_dir):
+    """The VIX role as CSV lines in the shared folder; every tenth day of a month
+    lands as a line that is no number, every seventh without a value."""
+    day = F.dayofmonth("date")
+    text = F.when(day % 10 == 0, "n/a").when(day % 7 == 0, "").otherwise(F.col("value").cast("string"))
+    lines = SM.macro_daily(spark, sf_dir).where("series_id = 'VIX'").select(
+        F.concat_ws(",", F.date_format("date", "yyyy-MM-dd"), text).alias("value"))
+    path = f"{ensure_checkpoint_dir(spark)}/landed-{uuid.uuid4().hex}"
+    lines.write.text(path)
+    return path
+
+
+@query
+def landed_series(spark, sf_dir):
+    """A landed daily series between two dates, malformed lines left out."""
+    path = _landed_series(spark, sf_dir)
+    return round_cols(LD.read_series(spark, path, "VIX", start="1993-01-01", end="1996-12-31", header=False))
+
+
+@query
+def landed_audit(spark, sf_dir):
+    """What the reader left out."""
+    return LD.audit(LD.series_lines(spark, _landed_series(spark, sf_dir), header=False))
+
+
+@query
+def features_incremental(spark, sf_dir):
+    """Price features in a bucketed table with a partition per year, written
+    for all years and once more for the last one, with negated closes; read back."""
+    feats = materialize(P.price_features(B.bars_daily(spark, sf_dir)).withColumn("day", F.trunc("date", "year")))
+    name = f"features_{uuid.uuid4().hex}"
+    T.upsert_features(feats, name, f"{ensure_checkpoint_dir(spark)}/{name}")
+    newest = feats.join(feats.agg(F.max("day").alias("day")), "day")
+    T.upsert_features(newest.withColumn("close", -F.col("close")), name, "")
+    return round_cols(spark.table(name).select(*KEYS, "close", *P.PRICE_FEATURES))

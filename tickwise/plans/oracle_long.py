@@ -94,4 +94,20 @@ FROM trades GROUP BY symbol, year(date)"""
     q["asof_reports"] = with_ctes(BARS_HOURLY, REPORTS) + f"""
 SELECT b.symbol, b.date, {rnd('b.close', 'close')}, r.published_at, CAST(r.n_events AS DOUBLE) AS n_events, {rnd('r.mean_value', 'mean_value')}
 FROM hbars b ASOF LEFT JOIN reports r ON b.symbol = r.symbol AND b.date >= r.published_at + INTERVAL 90 MINUTE"""
+    vix = """
+vix AS (
+  SELECT CAST(o_orderdate AS DATE) AS date, avg(o_totalprice) / 10000 AS value, day(CAST(o_orderdate AS DATE)) AS d
+  FROM orders GROUP BY CAST(o_orderdate AS DATE)
+)"""
+    q["landed_series"] = with_ctes(vix) + f"""
+SELECT 'VIX' AS series_id, date, {dr('CASE WHEN d % 7 <> 0 THEN value END')} AS value FROM vix
+WHERE d % 10 <> 0 AND date BETWEEN DATE '1993-01-01' AND DATE '1996-12-31'"""
+    q["landed_audit"] = with_ctes(vix) + """
+SELECT count(*) AS n_lines, count(*) FILTER (WHERE d % 10 = 0) AS n_corrupt, CAST(0 AS BIGINT) AS n_undated,
+       count(*) FILTER (WHERE d % 10 <> 0 AND d % 7 = 0) AS n_missing,
+       min(date) FILTER (WHERE d % 10 <> 0) AS first_date, max(date) FILTER (WHERE d % 10 <> 0) AS last_date FROM vix"""
+    q["features_incremental"] = with_ctes(BARS, price_ctes()) + f""",
+newest AS (SELECT max(year(date)) AS y FROM price)
+SELECT symbol, date, {dr('CASE WHEN year(date) = y THEN -close ELSE close END')} AS close,
+       {', '.join(rnd(c) for c in PRICE_OUT)} FROM price, newest"""
     return q

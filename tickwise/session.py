@@ -11,6 +11,7 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -68,6 +69,28 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_SHARED: dict[tuple, DataFrame] = {}
+
+
+def shared(spark: SparkSession, name: str, tables: list[str], build: Callable[[], DataFrame]) -> DataFrame:
+    """``build()``, written once a session and read again by later callers.
+
+    The result belongs to the state of ``tables`` (paths): with a file that
+    changed, or in another session, it is built anew."""
+    hadoop, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
+
+    def state(path: str) -> tuple:
+        where = hadoop(path)
+        files = where.getFileSystem(conf).globStatus(hadoop(f"{path}/*")) if where.getFileSystem(conf).getFileStatus(
+            where).isDirectory() else [where.getFileSystem(conf).getFileStatus(where)]
+        return (path, *sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files))
+
+    key = (spark.sparkContext.applicationId, name, *(state(t) for t in tables))
+    if key not in _SHARED:
+        _SHARED[key] = materialize(build())
+    return _SHARED[key]
+
+
 def tune(spark: SparkSession) -> SparkSession:
     """Apply :data:`DEFAULTS` where the session leaves them unset."""
     for k, v in DEFAULTS.items():
