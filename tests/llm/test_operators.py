@@ -113,10 +113,59 @@ def test_line_dedup_odd(spark, odd, empty):
     assert found[3].text == "own 3\n\n" and (found[3].n_lines, found[3].n_dropped) == (5, 2)
     assert found[99].text == found[98].text == "menu"
     assert found[97].text is None and found[97].n_lines == 0 and found[96].text == "" and found[96].n_lines == 1
-    assert line_dedup.drop_boilerplate(odd).where("deduped.n_dropped > 0").count() == 0
+    cut = line_dedup.drop_boilerplate(odd).where("deduped.n_dropped > 0").collect()  # four of the eleven rows say "one two"
+    assert [(r.text, r.deduped.text) for r in cut] == [("one two", "")] * 4 and all(r.fp == "clash" for r in cut)
     assert line_dedup.drop_boilerplate(empty).count() == 0
 
 
+def test_line_dedup_small_hosts(spark):
+    """The ratio judges hosts of every size: 19 pages as 20, and two like ones."""
+    docs, names = [], ["__lines", "__all", "__kept", "row", "host"]
+    for pages, held in ((1, 1), (2, 1), (2, 2), (9, 1), (9, 2), (10, 1), (19, 1), (19, 2), (20, 2), (21, 3), (60, 6), (60, 7)):
+        docs += [(f"{pages}/{held}", f"own {pages} {held} {k}" + "\nmenu" * (k < held) * 2, *["x"] * len(names)) for k in range(pages)]
+    docs += [("long", "word " * 30_000 + "\nfoot", *["x"] * len(names))] * 2
+    df = spark.createDataFrame(docs, "source string, text string, " + ", ".join(f"`{n}` string" for n in names))
+    found = line_dedup.drop_boilerplate(df).collect()
+    assert all(r[n] == "x" for r in found for n in names) and len(found) == len(docs)
+    cut = {r.source for r in found if r.deduped.n_dropped}
+    assert cut == {"2/2", "9/2", "19/2", "21/3", "60/7", "long"}
+    assert all(("menu" in r.deduped.text) == ("menu" in r.text) for r in found if r.source not in cut)
+    assert {r.deduped.text for r in found if r.source == "long"} == {""}
+
+
+def test_decontaminate_in_parts(spark, odd):
+    """A benchmark in many parts gives what one pass gives, with clashing names too."""
+    rng = random.Random(3)
+    word = lambda: rng.choice("abcdefgh") * rng.randint(1, 2)
+    items = [(i, " ".join(word() for _ in range(rng.choice((1, 2, 13, 20))))) for i in range(40)] + [(None, "one"), (77, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    docs = odd.select("doc_id", "text").unionByName(spark.createDataFrame(
+        [(i, " ".join(word() for _ in range(300))) for i in range(100, 140)], "doc_id long, text string"))
+    docs = docs.withColumns({"row": F.lit("x"), "part_0": F.lit("y")})
+    one, many = (sorted(map(str, decontaminate.benchmark_hits(docs, bench, part_bytes=n).collect())) for n in (1 << 20, 250))
+    assert one == many and any("items=['" in x for x in one)
+
+
+def test_url_rules_in_parts(spark):
+    rng = random.Random(4)
+    host = lambda: ".".join(rng.choice(["a", "bb", "c"]) for _ in range(rng.randint(1, 3)))
+    path = lambda: "/" + "/".join(rng.choice("xyz") for _ in range(rng.randint(0, 2)))
+    rules = list({(h, p): (h, p, rng.choice(["allow", "block"])) for h, p in ((host(), path()) for _ in range(150))}.values())
+    urls = [f"http://{host()}{path()}" for _ in range(500)] + [None, "", "x", "http://" + "a." * 3000 + "bb/" + "x/" * 3000] + ["http://a/x"] * 3
+    df = spark.createDataFrame([(u, "z") for u in urls], "url string, row string")
+    one, many = (sorted(map(str, url_filter.judge_urls(df, rules, part_bytes=n).collect())) for n in (1 << 20, 300))
+    assert one == many and any("rule='" in x for x in one)
+
+
+def test_million_url_rules():
+    """Rules of many hosts: each is found, and its neighbours aren't."""
+    rules = [(f"h{i}.org", f"/{i % 7}", "block" if i % 3 else "allow") for i in range(1_000_000)]
+    array = url_filter.DigestArray(url_filter.pack(rules))
+    found = array.judge([f"https://www.h{i}.org/{i % 7 + k}/x" for i in range(0, 1_000_000, 40_001) for k in (0, 10)], "allow")
+    assert [f["rule"] for f in found[::2]] == [f"h{i}.org/{i % 7}" for i in range(0, 1_000_000, 40_001)]
+    assert [f["verdict"] for f in found[::2]] == ["block" if i % 3 else "allow" for i in range(0, 1_000_000, 40_001)]
+
+
 def test_byte_bpe_odd(spark, odd, empty):
     coded = byte_bpe.encode_decode(odd, queries.rank_file(), public_tokenizers.PATTERN).collect()
     assert all(bytes(r.bpe.decoded).decode() == (r.text or "") for r in coded) and len(coded) == odd.count()

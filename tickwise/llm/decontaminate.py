@@ -9,8 +9,9 @@ the whole item where it is shorter.  Patterns of one length m share tables:
 * where the shift is zero, the bucket of that suffix block holds the patterns
   that end so, and a comparison of the words confirms an occurrence.
 
-The tables are built from the benchmark alone (its size is checked before it
-goes to the tasks) and the documents are read once, without a shuffle.
+The tables are built from the benchmark alone.  One that is larger than a task
+should hold is searched in parts, and the runs of hit words are merged, which
+gives the same.  The documents are not shuffled.
 """
 
 from __future__ import annotations
@@ -23,8 +24,9 @@ from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType, Str
 from .common import append
 
 WINDOW = 13
-#: Largest benchmark text that is sent to the tasks, in bytes.
-MAX_BENCHMARK_BYTES = 256 << 20
+#: Benchmark text whose tables a task holds at once, in bytes (a window takes
+#: about 300 bytes there); more is searched part by part and merged.
+PART_BYTES = 2 << 20
 SPAN = StructType([StructField("start", IntegerType(), False),
                    StructField("end", IntegerType(), False)])
 FOUND = StructType([StructField("n_words", LongType(), False),
@@ -81,6 +83,17 @@ def tables(items: list[tuple[str | None, str | None]], window: int = WINDOW) ->
     return [WuManber(length, patterns) for length, patterns in sorted(by_length.items())]
 
 
+def merged(runs: list[tuple[int, int]]) -> list[dict]:
+    """Maximal runs of (start, end) runs."""
+    spans: list[dict] = []
+    for start, end in sorted(runs):
+        if spans and start <= spans[-1]["end"]:
+            spans[-1]["end"] = max(end, spans[-1]["end"])
+        else:
+            spans.append({"start": start, "end": end})
+    return spans
+
+
 def find(searches: list[WuManber], text: str | None) -> dict:
     """Word count, maximal runs of hit words and sorted items of one text."""
     words = words_of(text)
@@ -90,18 +103,18 @@ def find(searches: list[WuManber], text: str | None) -> dict:
         for at, pattern in search.search(words):
             runs.append((at, at + search.m))
             items |= search.patterns[pattern]
-    spans: list[dict] = []
-    for start, end in sorted(runs):
-        if spans and start <= spans[-1]["end"]:
-            spans[-1]["end"] = max(end, spans[-1]["end"])
-        else:
-            spans.append({"start": start, "end": end})
-    return {"n_words": len(words), "spans": spans, "items": sorted(items - {None})}
+    return {"n_words": len(words), "spans": merged(runs), "items": sorted(items - {None})}
+
+
+def together(parts: list[dict]) -> dict:
+    """What the searches of several parts of a benchmark found in one text."""
+    return {"n_words": parts[0]["n_words"],
+            "spans": merged([(s["start"], s["end"]) for p in parts for s in p["spans"]]),
+            "items": sorted({i for p in parts for i in p["items"]})}
 
 
 def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text",
-                   out: str = "hits", window: int = WINDOW,
-                   max_bytes: int = MAX_BENCHMARK_BYTES) -> DataFrame:
+                   out: str = "hits", window: int = WINDOW, part_bytes: int = PART_BYTES) -> DataFrame:
     """``docs`` plus a struct ``out``: ``n_words``, the maximal runs ``spans`` of
     hit words (start, end) and the ids ``items`` of the items found, as sorted
     strings.
@@ -110,19 +123,33 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, text: str = "text",
     items all count.  An item with a null id is searched like any other but not
     listed in ``items``.  A null or empty document has no words and
     no hits.  Other columns pass through; one named ``out`` is replaced.  A
-    benchmark of more than ``max_bytes`` is refused: give it in parts.
+    benchmark of more than ``part_bytes`` is searched in parts of about that
+    size, with the same result.
     """
     bench = benchmark.select(F.col("item_id").cast("string"), "text").where("text is not null")
     size = bench.agg(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item_id"), F.lit(0)))).first()[0] or 0
-    if size > max_bytes:
-        raise ValueError(f"benchmark of {size} bytes; the bound is {max_bytes}")
-    items = docs.sparkSession.sparkContext.broadcast([tuple(r) for r in bench.collect()])
-
-    def start():
-        searches = tables(items.value, window)
-        return lambda texts: [find(searches, t) for t in texts]
-
-    return append(docs, text, out, FOUND, start)
+    parts = -(-size // part_bytes) or 1
+    part = F.pmod(F.xxhash64("item_id", "text"), F.lit(parts))
+    rest = [c for c in docs.columns if c != out]
+    found = docs.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col(text).alias("text")) if parts > 1 else docs
+
+    def searched(rows: DataFrame, items: list[tuple], name: str) -> DataFrame:
+        shared = docs.sparkSession.sparkContext.broadcast(items)
+
+        def start():
+            searches = tables(shared.value, window)
+            return lambda texts: [find(searches, t) for t in texts]
+
+        return append(rows, text if parts == 1 else "text", name, FOUND, start)
+
+    for n in range(parts):
+        items = [tuple(r) for r in bench.where(part == n).collect()]
+        found = searched(found, items, out if parts == 1 else f"part_{n}")
+    if parts == 1:
+        return found
+    all_parts = found.select("row", F.array(*[f"part_{n}" for n in range(parts)]).alias("parts"))
+    return (append(all_parts, "parts", "all", FOUND, lambda: lambda rows: [together(r) for r in rows])
+            .select(*[F.col(f"row.`{c}`") for c in rest], F.col("all").alias(out)))
 
 
 def contaminated(hits: str = "hits"):

@@ -11,7 +11,7 @@ WITH docs AS (
 items AS (
   SELECT CAST(item_id AS VARCHAR) AS item,
          regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
-  FROM benchmark WHERE text IS NOT NULL AND item_id IS NOT NULL
+  FROM benchmark WHERE text IS NOT NULL
 ),
 sized AS (SELECT item, w, least(13, len(w)) AS m FROM items WHERE len(w) > 0),
 windows AS (
@@ -75,7 +75,7 @@ held AS (
 ),
 boilerplate AS (
   SELECT source, line FROM held JOIN pages USING (source)
-  WHERE pages >= 20 AND n >= 5 AND n / pages > 0.1
+  WHERE n >= 2 AND n / pages > 0.1
 ),
 numbered AS (
   SELECT rid, source, unnest(lines) AS raw, unnest(generate_series(1, len(lines))) AS i FROM docs

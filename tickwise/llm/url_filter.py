@@ -16,12 +16,15 @@ import os
 import numpy as np
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import append
 
-#: Largest packed rule list that is sent to the tasks, in bytes.
-MAX_RULE_BYTES = 256 << 20
+#: Packed rules that a task maps at once, in bytes; more are probed as several arrays.
+PART_BYTES = 64 << 20
+#: What a rule takes in the array besides its text.
+RULE_BYTES = 25
 JUDGED = StructType([StructField(c, StringType()) for c in ("host", "path", "rule", "verdict")])
 
 
@@ -118,9 +121,19 @@ class DigestArray:
                 for i, (host, path) in enumerate(found)]
 
 
+def longest(parts: list[dict]) -> dict:
+    """The judgement of several parts of a rule list: the longest rule's, with the
+    longer host among equally long ones; of a rule in several parts, a block."""
+    def order(x: dict) -> tuple:
+        rule = x["rule"] or ""
+        host = rule.find("/") if "/" in rule else len(rule)
+        return x["rule"] is not None, len(rule), host, rule, x["verdict"] == "block"
+    return max(parts, key=order)
+
+
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "url",
                out: str = "judged", default: str = "allow",
-               max_bytes: int = MAX_RULE_BYTES) -> DataFrame:
+               part_bytes: int = PART_BYTES) -> DataFrame:
     """``pages`` plus a struct ``out``: ``host``, ``path``, the longest fitting
     ``rule`` and its ``verdict``.
 
@@ -129,16 +142,30 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], url: str = "
     array is a list of exceptions: a URL whose keys are not in it has no rule
     and the verdict ``default``.  Null, empty and schemeless URLs have an empty
     host and path, which no rule fits.  Other columns pass through; one named
-    ``out`` is replaced.  More than ``max_bytes`` of rules are refused: give
-    them in parts.
+    ``out`` is replaced.  A list of more than ``part_bytes`` is probed as several
+    arrays, and the longest rule of all counts.
     """
-    packed = pack(rules)
-    if len(packed) > max_bytes:
-        raise ValueError(f"rules of {len(packed)} bytes; the bound is {max_bytes}")
-    shared = pages.sparkSession.sparkContext.broadcast(packed)
-
-    def start():
-        array = DigestArray(shared.value)
-        return lambda urls: array.judge(urls, default)
-
-    return append(pages, url, out, JUDGED, start)
+    size = sum(len(h.encode()) + len(p.encode()) + RULE_BYTES for h, p, _ in rules)
+    parts = -(-size // part_bytes) or 1
+    step = -(-len(rules) // parts) or 1
+    rest = [c for c in pages.columns if c != out]
+
+    def probed(rows: DataFrame, source: str, some: list, name: str) -> DataFrame:
+        shared = pages.sparkSession.sparkContext.broadcast(pack(some))
+
+        def start():
+            array = DigestArray(shared.value)
+            return lambda urls: array.judge(urls, default)
+
+        return append(rows, source, name, JUDGED, start)
+
+    if parts == 1:
+        return probed(pages, url, rules, out)
+    found = pages.select(F.struct(*[F.col(f"`{c}`") for c in rest]).alias("row"), F.col(url).alias("url"))
+    names = []
+    for at in range(0, len(rules), step):
+        names.append(f"part_{len(names)}")
+        found = probed(found, "url", rules[at:at + step], names[-1])
+    found = found.select("row", F.array(*names).alias("parts"))
+    return (append(found, "parts", "all", JUDGED, lambda: lambda rows: [longest(r) for r in rows])
+            .select(*[F.col(f"row.`{c}`") for c in rest], F.col("all").alias(out)))
