@@ -17,7 +17,10 @@ from tickwise.session import materialize
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that a classifier trained on ``labels`` calls toxic."""
+    """Drop the documents that a classifier trained on ``labels`` calls toxic.
+
+    Null and empty texts are scored like any other, from no features.
+    """
     bound_batches(spark)
     members = toxicity.train(docs, read(spark, sf_dir, "labels"))
     scored = toxicity.with_score(docs, members, out="__score")
@@ -27,29 +30,35 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut each document's lines that are boilerplate of its source.
 
-    The ratio judges sources of every size, a line on five pages at least.
+    The ratio judges sources of every size; a null text stays null, and one of
+    whose lines none is left becomes empty.
     """
     bound_batches(spark)
-    cut = line_dedup.drop_boilerplate(docs, min_pages=1, out="__cut")
+    cut = line_dedup.drop_boilerplate(docs, out="__cut")
     values = {"text": F.col("__cut.text"), "n_chars": F.length("__cut.text").cast("long")}
     return cut.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group of near-duplicates."""
+    """Keep the document with the smallest id of each group of near-duplicates.
+
+    Null, empty and blank texts are one group.
+    """
     bound_batches(spark)
     return simhash.one_of_each(docs, simhash.near_duplicates(docs)).select(*docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold too much of the benchmark."""
+    """Drop the documents that hold too much of the benchmark; a null or empty text
+    holds nothing of it."""
     bound_batches(spark)
     hits = decontaminate.benchmark_hits(docs, read(spark, sf_dir, "benchmark"), out="__hits")
     return hits.where(~decontaminate.contaminated("__hits")).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each document, and digests of them and of the decoded bytes."""
+    """Token ids of each document, and digests of them and of the decoded bytes; a
+    null or empty text has no ids."""
     bound_batches(spark)
     coded = byte_bpe.encode_decode(docs.select("doc_id", "text"), queries.rank_file(),
                                    queries.public_tokenizers.PATTERN)
