@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.columns import round_cols
 from ..functions.selection import exact_percentile
 from ..operators import long_series as LS
+from ..operators import macro as M
 from ..operators import price as P
 from ..operators import train as T
 from ..operators.asof import asof_join
@@ -20,6 +21,7 @@ from ..session import ensure_checkpoint_dir, materialize
 from ..sources import bars as B
 from ..sources import landed as LD
 from ..sources import macro as SM
+from ..sources import statements as ST
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 KEYS = ["symbol", "date"]
@@ -126,3 +128,26 @@ def features_incremental(spark, sf_dir):
     newest = feats.join(feats.agg(F.max("day").alias("day")), "day")
     T.upsert_features(newest.withColumn("close", -F.col("close")), name, "")
     return round_cols(spark.table(name).select(*KEYS, "close", *P.PRICE_FEATURES))
+
+
+@query
+def statement_audit(spark, sf_dir):
+    """What the statement reader can't use: beside the readable documents, one
+    of each cut in half, one missing, one without reports and one without a date."""
+    docs = ST.statements_from_orders(spark, sf_dir)
+    faults = {"cut": F.expr("substring(body, 1, length(body) div 2)"), "missing": F.lit(None).cast("string"),
+              "empty": F.lit('{"quarterlyReports": []}'),
+              "undated": F.lit('{"quarterlyReports": [{"fiscalDateEnding": "soon", "netIncome": "1"}]}')}
+    landed = docs
+    for name, body in faults.items():
+        landed = landed.unionByName(docs.select(F.concat_ws("/", "symbol", F.lit(name)).alias("symbol"), "statement",
+                                                body.alias("body")))
+    return ST.unreadable_statements(landed)
+
+
+@query
+def macro_without_yields(spark, sf_dir):
+    """The macro calendar of a daily table that lacks the yields and a missing
+    monthly one."""
+    daily = SM.macro_daily(spark, sf_dir).where("series_id = 'VIX'")
+    return round_cols(M.build_macro(daily, None))

@@ -3,7 +3,7 @@ windows, a truncated convolution for the exponential means and ASOF JOIN."""
 
 from __future__ import annotations
 
-from .oracle_sql import (BARS, BARS_HOURLY, LABEL_CTES, PRICE_OUT, dr, gated, price_ctes, rnd, select_rounded, win,
+from .oracle_sql import (BARS, BARS_HOURLY, LABEL_CTES, MACRO_CTES, PRICE_OUT, VIXC, YLDC, dr, gated, price_ctes, rnd, select_rounded, win,
                          with_ctes)
 
 BARS_MINUTE = """
@@ -106,6 +106,16 @@ WHERE d % 10 <> 0 AND date BETWEEN DATE '1993-01-01' AND DATE '1996-12-31'"""
 SELECT count(*) AS n_lines, count(*) FILTER (WHERE d % 10 = 0) AS n_corrupt, CAST(0 AS BIGINT) AS n_undated,
        count(*) FILTER (WHERE d % 10 <> 0 AND d % 7 = 0) AS n_missing,
        min(date) FILTER (WHERE d % 10 <> 0) AS first_date, max(date) FILTER (WHERE d % 10 <> 0) AS last_date FROM vix"""
+    q["statement_audit"] = """
+WITH s AS (
+  SELECT DISTINCT r_name AS symbol, date_trunc('quarter', o_orderdate) AS quarter FROM orders JOIN customer ON o_custkey = c_custkey
+  JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+)
+SELECT symbol || '/' || name AS symbol, statement, reason
+FROM s, (VALUES ('cut', 'corrupt'), ('missing', 'corrupt'), ('empty', 'no reports'), ('undated', 'no dated report')) f(name, reason),
+     (VALUES ('income'), ('balance'), ('cashflow')) t(statement)"""
+    q["macro_without_yields"] = with_ctes(MACRO_CTES) + "\n" + select_rounded("vixf", ["date"], VIXC).replace(
+        " FROM", "".join(f", CAST(NULL AS DOUBLE) AS {c}" for c in YLDC) + " FROM", 1)
     q["features_incremental"] = with_ctes(BARS, price_ctes()) + f""",
 newest AS (SELECT max(year(date)) AS y FROM price)
 SELECT symbol, date, {dr('CASE WHEN year(date) = y THEN -close ELSE close END')} AS close,
