@@ -16,7 +16,7 @@ from tickwise.plans import catalog  # noqa: E402
 from tickwise.sources.tables import TABLES  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
-NO_ORACLE = {"gbt_scores", "gbt_search", "pooled_report"}
+NO_ORACLE = {"gbt_scores", "gbt_search", "oof_cutoffs", "pooled_report"}
 
 
 @pytest.fixture(scope="module")
