@@ -136,7 +136,7 @@ def test_out_of_fold_scores_see_no_later_date(spark):
             for s in "AB" for i in range(200)]
     schema = "symbol string, date date, x1 double, target_3m int, split string"
     train = T.training_frame(spark.createDataFrame(rows, schema), ["x1"])
-    params = {"maxIter": 15, "maxDepth": 8, "minInstancesPerNode": 1, "stepSize": 0.5}
+    params = {"maxIter": 4, "maxDepth": 4, "minInstancesPerNode": 1}
     scores = T.out_of_fold_scores(train, ["x1"], params, n_splits=4, embargo_rows=3).toPandas()
     assert len(scores) == 2 * 160 and sorted(scores.test_fold.unique()) == [0, 1, 2, 3]
     hit = ((scores.p > 0.5) == (scores.label == 1)).mean()
