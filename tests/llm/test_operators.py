@@ -1,6 +1,7 @@
 """Odd rows, empty tables, and the parts of the operators against brute force."""
 
 import random
+import zlib
 
 import numpy as np
 import public_tokenizers
@@ -199,7 +200,12 @@ def test_fingerprint_odd(spark, odd, empty):
     follow = {r.doc_id: r.next.text for r in found if r.doc_id in (4, 5, 6)}
     assert follow == {4: " \t\n", 5: "12345 !!", 6: "one two"}
     sketched = {r.doc_id: r.sketch for r in fingerprint.with_sketch(odd, "text", "sketch").collect()}
-    assert sketched[1] == sketched[2] == sketched[3] == [] and len(sketched[5]) == 1
+    assert sketched[1] == sketched[2] == sketched[3] == ([], None) and sketched[5].least is not None
+    clash = odd.select("*", *[F.lit("own").alias(c) for c in ("__words", "__hashes", "__key", "__bucket", "__guest", "__host", "a.b")])
+    found = fingerprint.with_next(fingerprint.with_sketch(clash, "text", "sketch"), "doc_id", ["sketch"]).collect()
+    assert len(found) == odd.count() and all({r["__words"], r["__hashes"], r["__key"], r["__bucket"], r["__guest"], r["__host"]} == {"own"}
+                                             and r.fp == "clash" for r in found)
+    assert all(r.sketch == sketched[r.doc_id] for r in found if r.doc_id is not None)  # two texts have no id
     assert fingerprint.with_next(empty.select("doc_id", "text"), "doc_id", ["text"]).count() == 0
     one = spark.createDataFrame([(5, "alone")], "doc_id long, text string")
     assert fingerprint.with_next(one, "doc_id", ["text"]).first().next.text == "alone"
@@ -217,6 +223,12 @@ def test_sharding_odd(spark, odd, empty):
         slots = sorted(r.slot for r in found if r.shard == k)
         assert slots == list(range(len(slots)))
     assert sharding.shard_groups(rows.limit(0), "text", "size").count() == 0
+    clash = rows.select("*", *[F.lit("own").alias(c) for c in ("__group", "__part", "__own", "__at", "__n", "__sum", "__same", "a.b")],
+                        F.lit(-1).alias("slot"), F.col("text").alias("shard"))
+    again = sharding.shard_groups(clash, "shard", "size", shards=3).collect()
+    key = lambda r: (r.text or "", r.shard, r.size)
+    assert sorted(map(key, again)) == sorted(map(key, found)) and {r["a.b"] for r in again} == {r["__part"] for r in again} == {"own"}
+    assert sorted((r.shard, r.slot) for r in again) == sorted((r.shard, r.slot) for r in found)
 
 
 # --- the parts -----------------------------------------------------------------
@@ -334,10 +346,26 @@ def test_sketches_merge_and_contain(spark):
     for c in "a", "b", "whole":
         df = fingerprint.with_sketch(df, c, f"s_{c}")
     got = df.select(fingerprint.containment("s_a", "s_whole").alias("c"), fingerprint.likeness("s_a", "s_whole").alias("l"),
-                    F.size(F.array_except(fingerprint.merged("s_a", "s_b"), "s_whole")).alias("rest")).first()
+                    F.size(F.array_except(fingerprint.merged("s_a", "s_b")["hashes"], "s_whole.hashes")).alias("rest")).first()
     assert got.c == 1 and abs(got.l - 1 / 3) < 0.1 and got.rest == 0
 
 
+def test_sketches_of_short_texts(spark):
+    """Of a text wholly inside another one the containment is 1 or, where its sketch
+    is empty, unknown; merged sketches are the sketch of the joined text."""
+    texts = [" ".join(f"w{i}x{j}" for j in range(7)) for i in range(300)]
+    rows = [(t.rsplit(" ", 2)[0], t.split(" ", 1)[1], t.rsplit(" ", 1)[0], t) for t in texts]
+    df = spark.createDataFrame(rows, "five string, rest string, six string, seven string")
+    for c in df.columns:
+        df = fingerprint.with_sketch(df, c, f"s_{c}")
+    got = df.select("s_five.hashes", fingerprint.containment("s_five", "s_six").alias("c"),
+                    fingerprint.merged("s_five", "s_rest").alias("m"), F.col("s_seven").alias("whole"),
+                    fingerprint.likeness("s_five", "s_five").alias("one")).collect()
+    assert {r.c for r in got} == {None, 1.0} and all((r.c is None) == (not r.hashes) and r.one == 1 for r in got)
+    assert 15 < sum(r.c == 1 for r in got) < 65  # about one in eight
+    assert all(r.m == r.whole for r in got)
+
+
 def test_suffix_dedup_with_crowded_cores(spark):
     """Shared passages in many surroundings, with cores settled by order and by count."""
     rng = random.Random(1)
@@ -378,6 +406,45 @@ def test_pu_learning_finds_the_stems():
     assert (score([made(False) for _ in range(100)]) >= 0.3).mean() < 0.1
 
 
+def test_language_is_exact_kernel_ridge(spark, documents):
+    """Against the unhashed kernel with every training row as a landmark, solved in one piece."""
+    docs = [(i, t[:300], lang) for i, t, lang, _ in documents if t and lang]
+    learnt = [d for d in docs if zlib.crc32(str(d[0]).encode()) % 4 != 2]
+    names = sorted({d[2] for d in learnt})
+    grams = lambda t: {t[k:k + n] for t in [t.lower().encode()] for n in (1, 2, 3) for k in range(len(t) - n + 1)}
+    sets = {i: grams(t) for i, t, _ in docs}
+    exact = lambda a, b: np.array([[len(sets[x] & sets[y]) / (len(sets[x]) * len(sets[y])) ** .5 for y in b] for x in a])
+    own, every = [d[0] for d in learnt], [d[0] for d in docs]
+    values, vectors = np.linalg.eigh(exact(own, own))
+    root = vectors / np.sqrt(np.maximum(values, 1e-6)) @ vectors.T
+    mapped, target = exact(own, own) @ root, np.array([[1.0 if d[2] == n else -1.0 for n in names] for d in learnt])
+    weight = np.array([[1 / sum(e[2] == d[2] for e in learnt)] for d in learnt])
+    solved = np.linalg.solve(mapped.T @ (weight * mapped) + language.RIDGE * np.eye(len(own)), mapped.T @ (weight * target))
+    best = dict(zip(every, (exact(every, own) @ root @ solved).argmax(axis=1)))
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(7)
+    found = {r.doc_id: r.guess.lang for r in language.with_language(df, language.train(df)).collect()}
+    assert sum(found[i] == names[best[i]] for i in every) >= 0.98 * len(every)
+
+
+def test_language_sums_are_one_solve():
+    """Rows added up by tasks solve the same regressions as all rows together."""
+    rng = np.random.default_rng(3)
+    x = (rng.random((500, sum(language.PLACES))) < 0.01).astype(np.float32)
+    y = rng.integers(0, 3, 500)
+    sizes, root = np.bincount(y).astype(float), language.nystrom(x[:40])
+    whole = language.normal_equations(x, y, sizes, x[:40], root)
+    parts = [language.normal_equations(x[a:a + 77], y[a:a + 77], sizes, x[:40], root) for a in range(0, 500, 77)]
+    assert all(np.allclose(sum(p[k] for p in parts), whole[k]) for k in (0, 1))
+
+
+def test_language_learns_equal_rows_once(spark):
+    """Copies without an id, however many, are one training row."""
+    rows = [(None, "same words", "en")] * 5_000 + [(i, f"autre texte {i}", "fr") for i in range(20)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    names, packed, _ = language.train(df)
+    assert names == ["en", "fr"] and len(packed) == sum(language.PLACES) // 8 * (1 + sum(zlib.crc32(str(i).encode()) % 4 != 2 for i in range(20)))
+
+
 def test_held_out_is_a_quarter(spark):
     from helpers import held_out as plain
     rows = spark.range(400).select("id", held_out("id").alias("h")).collect()

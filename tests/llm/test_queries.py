@@ -1,6 +1,7 @@
 """Every registered query on the smallest tables, against SQL or brute force."""
 
 import hashlib
+import re
 
 import duckdb
 import pandas as pd
@@ -95,6 +96,33 @@ def test_toxicity(spark, sf, documents):
     assert own.held_out.to_dict() == {i: held_out(i) for i, *_ in documents}
 
 
+def test_toxicity_held_out(spark):
+    """Held-out labels of a table with a few hundred toxic examples."""
+    big = "/root/testdata/sf0.1"
+    own = rows(spark, big, "op3_toxicity").set_index("doc_id")
+    labels = spark.read.parquet(f"{big}/labels.parquet").select("doc_id", "toxic").toPandas().set_index("doc_id").toxic
+    both = own[own.held_out].join(labels, how="inner")
+    hit = ((both.predicted == 1) & (both.toxic == 1)).sum()
+    assert hit / (both.predicted == 1).sum() >= 0.85 and hit / (both.toxic == 1).sum() >= 0.8
+
+
+def test_fingerprint_is_brute_force_sketch(spark, sf, documents):
+    """The shown sketches against hashes chained word by word in Python."""
+    own = rows(spark, sf, "op9_fingerprint").set_index("doc_id").fingerprint
+    for i, text, *_ in documents:
+        words, found = [w for w in re.split(r"[ \t\n\x0b\f\r]+", (text or "").lower()) if w], set()
+        for k in range(len(words) - 4):
+            h = 42
+            for w in words[k:k + 5]:
+                h = xxhash.xxh64_intdigest(w.encode(), h)
+            found.add(h - (h >> 63 << 64))
+        if 0 < len(words) < 5:
+            h = xxhash.xxh64_intdigest(" ".join(words).encode(), 42)
+            found.add(h - (h >> 63 << 64))
+        kept = sorted(h for h in found if h < -(1 << 63) + (1 << 61)) or sorted(found)[:1]
+        assert own[i] == ",".join(f"{h % 2 ** 64:016x}" for h in kept)
+
+
 def test_language(spark, sf, documents):
     own = rows(spark, sf, "op7_language").set_index("doc_id")
     right = [own.lang_pred[i] == lang for i, _, lang, _ in documents if held_out(i)]

@@ -55,6 +55,19 @@ def append(df: DataFrame, source: str, name: str, kind: DataType,
     return df.mapInArrow(run, schema)
 
 
+def spare(columns: list[str]) -> str:
+    """A prefix that no column's name has, for columns of a function's own."""
+    prefix = "__"
+    while any(c.startswith(prefix) for c in columns):
+        prefix += "_"
+    return prefix
+
+
+def quoted(columns: list[str]) -> list[str]:
+    """The columns' names, also where they hold a dot."""
+    return [f"`{c}`" for c in columns]
+
+
 def held_out(doc_id):
     """True for the quarter of the documents whose labels no model may see."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 4 == 2, F.lit(False))

@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import materialize
+from .common import quoted, spare
 
 EXACT_SIZES = 1 << 16
 #: Rows that one task numbers.
@@ -34,15 +35,15 @@ def number(df: DataFrame, key: str, order: list, out: str, rows: int) -> DataFra
     rows is numbered by many tasks; a part starts where the parts before it
     end.
     """
+    part, n, at, own = (spare(df.columns) + c for c in ("part", "n", "at", "own"))
     parts = max(1, math.ceil(rows / NUMBERED_ROWS))
-    split = df.withColumn("__part", F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int"))
-    sizes = split.groupBy(key, "__part").agg(F.count(F.lit(1)).alias("__n"))
-    before = Window.partitionBy(key).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(key, "__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__at"))
-    own = F.row_number().over(Window.partitionBy(key, "__part").orderBy(*order)) - 1
-    return (split.withColumn("__own", own).join(starts, [key, "__part"])
-            .withColumn(out, (F.col("__at") + F.col("__own")).cast("long"))
-            .drop("__part", "__own", "__at"))
+    split = df.withColumn(part, F.pmod(F.xxhash64(*order), F.lit(parts)).cast("int"))
+    sizes = split.groupBy(key, part).agg(F.count(F.lit(1)).alias(n))
+    before = Window.partitionBy(key).orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(key, part, F.coalesce(F.sum(n).over(before), F.lit(0)).alias(at))
+    numbered = F.row_number().over(Window.partitionBy(key, part).orderBy(*order)) - 1
+    return (split.withColumn(own, numbered).join(starts, [key, part])
+            .withColumn(out, (F.col(at) + F.col(own)).cast("long")).drop(part, own, at))
 
 
 def deal(histogram: list[tuple[int, float, int]], shards: int) -> list[tuple[int, list[int]]]:
@@ -88,9 +89,14 @@ def shard_groups(rows: DataFrame, group: str, size: str, shards: int = 8) -> Dat
 
     ``rows`` should be thin (it is read three times).  Equal rows get slots of
     their own; an empty table gives an empty result.  Null is a group as well.
+    Other columns pass through, whatever their names; columns ``shard`` and ``slot``
+    are replaced, even one that is the group or the size.
     """
-    groups = materialize(rows.groupBy(F.col(group).alias("__group"))
-                         .agg(F.sum(size).alias("__sum"), F.count(F.lit(1)).alias("__rows"))
+    rest = [c for c in rows.columns if c not in ("shard", "slot")]
+    same, weight = (spare(rows.columns) + c for c in ("same", "weight"))
+    rows = rows.select(*quoted(rest), F.col(group).alias(same), F.col(size).alias(weight))
+    groups = materialize(rows.groupBy(F.col(same).alias("__group"))
+                         .agg(F.sum(weight).alias("__sum"), F.count(F.lit(1)).alias("__rows"))
                          .withColumn("__class", size_class(F.col("__sum"))))
     histogram = groups.groupBy("__class").agg(F.avg("__sum"), F.count(F.lit(1)), F.sum("__rows")).collect()
     spark = rows.sparkSession
@@ -99,6 +105,7 @@ def shard_groups(rows: DataFrame, group: str, size: str, shards: int = 8) -> Dat
     n_groups, n_rows = sum(r[2] for r in histogram), sum(r[3] for r in histogram)
     placed = (number(groups, "__class", [F.col("__group")], "__no", n_groups)
               .join(F.broadcast(ends), "__class")
-              .select("__group", F.size(F.filter("__ends", lambda e: e <= F.col("__no"))).alias("shard")))
-    joined = rows.join(placed, rows[group].eqNullSafe(placed["__group"])).drop("__group")
-    return number(joined, "shard", [F.col(c) for c in rows.columns], "slot", n_rows)
+              .select(F.col("__group").alias(f"{same}_"),
+                      F.size(F.filter("__ends", lambda e: e <= F.col("__no"))).alias("shard")))
+    joined = rows.join(placed, F.col(same).eqNullSafe(F.col(f"{same}_"))).drop(f"{same}_")
+    return number(joined, "shard", [F.col(c) for c in quoted(rows.columns)], "slot", n_rows).drop(same, weight)
