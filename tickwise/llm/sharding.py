@@ -95,6 +95,7 @@ def shard_groups(rows: DataFrame, group: str, size: str, shards: int = 8) -> Dat
     rest = [c for c in rows.columns if c not in ("shard", "slot")]
     same, weight = (spare(rows.columns) + c for c in ("same", "weight"))
     rows = rows.select(*quoted(rest), F.col(group).alias(same), F.col(size).alias(weight))
+    order = quoted(rest) + [own for name, own in ((group, same), (size, weight)) if name not in rest]
     groups = materialize(rows.groupBy(F.col(same).alias("__group"))
                          .agg(F.sum(weight).alias("__sum"), F.count(F.lit(1)).alias("__rows"))
                          .withColumn("__class", size_class(F.col("__sum"))))
@@ -108,4 +109,4 @@ def shard_groups(rows: DataFrame, group: str, size: str, shards: int = 8) -> Dat
               .select(F.col("__group").alias(f"{same}_"),
                       F.size(F.filter("__ends", lambda e: e <= F.col("__no"))).alias("shard")))
     joined = rows.join(placed, F.col(same).eqNullSafe(F.col(f"{same}_"))).drop(f"{same}_")
-    return number(joined, "shard", [F.col(c) for c in quoted(rows.columns)], "slot", n_rows).drop(same, weight)
+    return number(joined, "shard", [F.col(c) for c in order], "slot", n_rows).drop(same, weight)
