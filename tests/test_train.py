@@ -172,3 +172,18 @@ def test_upsert_touches_one_day(spark):
     plan = table.withColumn("last", F.lag("x1").over(panel_window()))._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan and "Exchange" not in plan
     spark.sql(f"DROP TABLE {name}")
+
+
+def test_score_per_symbol(spark):
+    """Each row by its symbol's model; rows without one keep a NULL score."""
+    panel = _panel(spark, n=120)
+    feats = ["x1", "x2"]
+    models = T.fit_per_symbol(T.training_frame(panel, feats), feats, {"maxIter": 2, "maxDepth": 2})
+    other = spark.createDataFrame([("C", 1.0, None), (None, 1.0, 2.0)], "symbol string, x1 double, x2 double")
+    out = T.score_per_symbol(models, panel.select("symbol", "x1", "x2").unionByName(other)).toPandas()
+    assert list(out.columns) == ["symbol", "x1", "x2", "p"] and len(out) == 242
+    assert out.p.notna().sum() == 240 and out[out.symbol.isin(["A", "B"])].p.between(0, 1).all()
+    for s in ("A", "B"):
+        alone = T.score(models[s], panel.where(f"symbol = '{s}'"), feats).toPandas()
+        np.testing.assert_allclose(sorted(out[out.symbol == s].p), sorted(alone.p))
+    assert T.score_per_symbol({}, panel).where("p is not null").count() == 0

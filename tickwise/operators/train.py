@@ -311,6 +311,20 @@ def fit_per_symbol(train: DataFrame, features: list[str], params: dict | None =
         return dict(zip(symbols, ex.map(fit, symbols)))
 
 
+def score_per_symbol(models: dict[str, PipelineModel], df: DataFrame) -> DataFrame:
+    """M8 + M7: ``df`` with ``p`` by the model of each row's symbol, on the inputs that
+    model was fitted on (doubles, as in :func:`score`).  Rows whose symbol has no
+    model keep a NULL ``p``."""
+    known = F.coalesce(F.col("symbol").isin(sorted(models)), F.lit(False))
+    out = df.where(~known).withColumn("p", F.lit(None).cast("double"))
+    for symbol in sorted(models):
+        # the imputer's inputs are the model's
+        inputs = models[symbol].stages[0].getInputCols()
+        scored = score(models[symbol], df.where(F.col("symbol") == symbol), inputs)
+        out = out.unionByName(scored.select(*df.columns, "p"))
+    return out
+
+
 def pooled_report(panel: DataFrame, features: list[str], params: dict | None = None,
                   split_col: str = "split", label: str = "target_3m",
                   include_raw_target: bool = False, embargo_rows: int = 0):

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import ffill, panel_window, round_cols
-from ..session import materialize, shared
+from ..session import ensure_checkpoint_dir, materialize, shared
 from . import panel as PN
 from ..operators import evaluate as E
 from ..operators import fundamentals as FU
@@ -447,7 +447,6 @@ def training_frame(spark, sf_dir):
 def features_round_trip(spark, sf_dir):
     """The labelled price features, written partitioned by symbol and read
     back from there."""
-    from ..session import ensure_checkpoint_dir
     lab = P.price_features(B.bars_daily(spark, sf_dir))
     path = T.write_features(lab, f"{ensure_checkpoint_dir(spark)}/features-{uuid.uuid4().hex}")
     return round_cols(spark.read.parquet(path).select(*KEYS, "close", *P.PRICE_FEATURES))
@@ -513,6 +512,69 @@ def oof_cutoffs(spark, sf_dir):
     return round_cols(cut)
 
 
+# Models of a few rounds, for what SQL can tell about a fit: which rows are trained
+# on and scored, and bounds that any fit with real trees keeps.
+FEW_ROUNDS = T.DEFAULT_PARAMS | {"maxIter": 20}
+#: Least ROC AUC on the rows that a model was trained on.
+LEAST_AUC = 0.7
+
+
+def _train_and_test(spark, sf_dir):
+    """Training rows, labelled test rows and the inputs seen in training."""
+    panel = split_panel(spark, sf_dir)
+    feats = PN.feature_columns(panel)
+    train = T.training_frame(panel, feats, embargo_rows=EMBARGO_ROWS)
+    test = (panel.where((F.col("split") == "test") & F.col("target_3m").isNotNull())
+            .withColumn("label", F.col("target_3m").cast("double")))
+    return train, test, T.usable_features(train, feats)
+
+
+def _learned(scores):
+    """Per symbol the scored training rows, and whether their AUC is over the bound."""
+    counts = scores.where(F.col("p").between(0, 1)).groupBy("symbol").agg(F.count(F.lit(1)).alias("n_train"))
+    aucs = E.roc_auc(scores).select("symbol", (F.col("auc") >= LEAST_AUC).alias("learned"))
+    return counts.join(aucs, "symbol")
+
+
+@query("model_round_trip")
+def model_round_trip(spark, sf_dir):
+    """S6 + M7: a pooled model (20 rounds) written to the shared folder and loaded
+    again: per symbol the test rows, those with a probability from the loaded
+    model, and those where it equals the first model's."""
+    train, test, feats = _train_and_test(spark, sf_dir)
+    model = T.fit_gbt(train, feats, FEW_ROUNDS)
+    path = T.save_model(model, f"{ensure_checkpoint_dir(spark)}/model-{uuid.uuid4().hex}")
+    before = T.score(model, test, feats).select(*test.columns, F.col("p").alias("before"))
+    both = T.score(T.load_model(path), before, feats)
+    return both.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("n_test"), F.count_if(F.col("p").between(0, 1)).alias("n_scored"),
+        F.count_if(F.col("p") == F.col("before")).alias("n_same"))
+
+
+@query("symbol_models")
+def symbol_models(spark, sf_dir):
+    """M8: a model (20 rounds) per symbol: its training rows, whether it tells them
+    apart, and the test rows that it gives a probability."""
+    train, test, feats = _train_and_test(spark, sf_dir)
+    models = T.fit_per_symbol(train, feats, FEW_ROUNDS)
+    scored = T.score_per_symbol(models, test).where(F.col("p").between(0, 1))
+    tested = scored.groupBy("symbol").agg(F.count(F.lit(1)).alias("n_test"))
+    return _learned(T.score_per_symbol(models, train)).join(tested, "symbol", "left")
+
+
+@query("model_bounds")
+def model_bounds(spark, sf_dir):
+    """M3 + M9 + A4: the pooled model (20 rounds): per symbol its training rows and
+    whether it tells them apart, and the test rows in the confusion cells of the
+    fixed-parameter pass."""
+    train, _, feats = _train_and_test(spark, sf_dir)
+    train = materialize(train)
+    scores = materialize(T.score(T.fit_gbt(train, feats, FEW_ROUNDS), train, feats).select("symbol", "label", "p"))
+    cells, _ = T.pooled_report(split_panel(spark, sf_dir), feats, FEW_ROUNDS, embargo_rows=EMBARGO_ROWS)
+    tested = cells.groupBy("symbol").agg(F.sum("n").cast("bigint").alias("n_test"))
+    return _learned(scores).join(tested, "symbol", "left")
+
+
 from . import catalog_long  # noqa: E402  more queries, registered here
 
 QUERIES.update(catalog_long.QUERIES)

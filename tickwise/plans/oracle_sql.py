@@ -748,10 +748,11 @@ u AS (UNPIVOT cast_tr ON {", ".join(f'"{c}"' for c in feats)} INTO NAME feature
 corr AS (SELECT symbol, feature, covar_pop(value, y) / NULLIF(stddev_pop(value) * stddev_pop(y), 0) AS corr
          FROM u WHERE value IS NOT NULL GROUP BY symbol, feature)"""
     flags = ", ".join(f'CAST("{c}" IS NULL AS INTEGER) AS "{c}_missing"' for c in feats)
-    frame = body + "," + train + f""",
+    embargo = """,
 lab AS (SELECT *, row_number() OVER (PARTITION BY symbol ORDER BY date DESC) AS last_rows
         FROM tr WHERE target_3m_raw IS NOT NULL),
-emb AS (SELECT * FROM lab WHERE last_rows > 63),
+emb AS (SELECT * FROM lab WHERE last_rows > 63)"""
+    frame = body + "," + train + embargo + f""",
 wt AS (
   SELECT *, pow(0.99::DOUBLE, CAST(date_diff('day', date, max(date) OVER (PARTITION BY symbol)) AS DOUBLE) / 30.0::DOUBLE) AS rec,
          sum(target_3m) OVER (PARTITION BY symbol) AS pos, count(*) OVER (PARTITION BY symbol) AS n
@@ -759,10 +760,19 @@ wt AS (
 ),
 ww AS (SELECT *, CASE WHEN target_3m = 1 THEN rec * ((n - pos) / greatest(pos, 1)) ELSE rec END AS weight FROM wt)
 SELECT symbol, date, CAST(target_3m AS DOUBLE) AS label, {rnd('weight')}, {flags} FROM ww"""
+    tested = f"""
+tested AS (SELECT symbol, count(*) AS n_test FROM final WHERE date >= {SPLIT} AND target_3m_raw IS NOT NULL GROUP BY symbol)"""
+    # A fit has no SQL: its rows are counted here, and each symbol is to be learned.
+    bounds = body + "," + train + embargo + "," + tested + """
+SELECT symbol, count(*) AS n_train, true AS learned, any_value(n_test) AS n_test
+FROM emb LEFT JOIN tested USING (symbol) GROUP BY symbol"""
     return {
         "feature_label_corr": corr + f"\nSELECT symbol, feature, {rnd('corr')} FROM corr",
         "mean_corr": corr + f"\nSELECT feature, {dr('avg(corr)')} AS mean_corr FROM corr GROUP BY feature",
         "training_frame": frame,
+        "model_bounds": bounds,
+        "symbol_models": bounds,
+        "model_round_trip": body + "," + tested + "\nSELECT symbol, n_test, n_test AS n_scored, n_test AS n_same FROM tested",
     }
 
 
