@@ -3,7 +3,8 @@
 ``run(spark, sf_dir)`` applies STAGES in order.  Each stage gets all that its
 predecessor kept and writes Parquet to the shared folder, which the next one
 reads; a lost executor re-runs only its tasks of the stage at hand.  All but
-the last return the columns of ``documents``.
+the last return the columns of ``documents``, whatever these are called: a stage's
+own columns take names that its input does not have.  An empty table stays empty.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tickwise.llm import byte_bpe, decontaminate, line_dedup, queries, simhash, toxicity
-from tickwise.llm.common import bound_batches, read
+from tickwise.llm.common import bound_batches, read, spare
 from tickwise.session import materialize
 
 
@@ -23,8 +24,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     bound_batches(spark)
     members = toxicity.train(docs, read(spark, sf_dir, "labels"))
-    scored = toxicity.with_score(docs, members, out="__score")
-    return scored.where(F.col("__score") < queries.TOXIC).select(*docs.columns)
+    own = spare(docs.columns) + "score"
+    scored = toxicity.with_score(docs, members, out=own)
+    return scored.where(F.col(own) < queries.TOXIC).select(*docs.columns)
 
 
 def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,8 +36,9 @@ def drop_boilerplate_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     whose lines none is left becomes empty.
     """
     bound_batches(spark)
-    cut = line_dedup.drop_boilerplate(docs, out="__cut")
-    values = {"text": F.col("__cut.text"), "n_chars": F.length("__cut.text").cast("long")}
+    own = spare(docs.columns) + "cut"
+    cut = line_dedup.drop_boilerplate(docs, out=own)
+    values = {"text": F.col(f"{own}.text"), "n_chars": F.length(f"{own}.text").cast("long")}
     return cut.select(*[values.get(c, F.col(c)).alias(c) for c in docs.columns])
 
 
@@ -52,8 +55,9 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Drop the documents that hold too much of the benchmark; a null or empty text
     holds nothing of it."""
     bound_batches(spark)
-    hits = decontaminate.benchmark_hits(docs, read(spark, sf_dir, "benchmark"), out="__hits")
-    return hits.where(~decontaminate.contaminated("__hits")).select(*docs.columns)
+    own = spare(docs.columns) + "hits"
+    hits = decontaminate.benchmark_hits(docs, read(spark, sf_dir, "benchmark"), out=own)
+    return hits.where(~decontaminate.contaminated(own)).select(*docs.columns)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
