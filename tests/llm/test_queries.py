@@ -9,6 +9,7 @@ import pytest
 import public_tokenizers
 import tiktoken
 import xxhash
+from pyspark.sql import functions as F
 from helpers import components, held_out, repeats, simhash
 
 import corpus_pipeline
@@ -178,3 +179,33 @@ def test_xxhash_seed(spark):
     """Spark's xxhash64 of one string is XXH64 with seed 42."""
     own = spark.sql("SELECT xxhash64('héllo')").first()[0]
     assert own % 2 ** 64 == xxhash.xxh64_intdigest("héllo".encode(), 42)
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_pipeline_stage_on_odd_rows(spark, sf, odd, empty, name):
+    """Each stage on missing, empty, very long and repeated texts with columns of
+    clashing names, and on no rows."""
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = odd.withColumn("n_chars", F.length("text").cast("long"))
+    clash = ["__score", "__cut", "__hits", "__id", "__hash", "__row", "ids", "root", "component_id", "contaminated"]
+    docs = docs.withColumns({c: F.lit("clash") for c in clash})
+    out = stage(spark, docs, sf)
+    found = out.toPandas()
+    if name == "byte_bpe":
+        assert len(found) == docs.count()
+        own = {(i if pd.notna(i) else None, d) for i, d in zip(found.doc_id, found.decoded_sha256)}
+        assert own == {(r.doc_id, hashlib.sha256((r.text or "").encode()).hexdigest()) for r in docs.collect()}
+    else:
+        assert out.columns == docs.columns
+        assert all(r[c] == "clash" for r in out.collect() for c in (*clash, "fp", "hits", "score", "cut"))
+        before = {(r.doc_id, r.text, r.fp) for r in docs.collect()}
+        after = [(r.doc_id, r.text, r.fp) for r in out.collect()]
+        if name == "line_dedup":  # ids and rows stay; missing texts stay missing
+            assert sorted(map(str, [a[0] for a in after])) == sorted(str(r.doc_id) for r in docs.collect())
+            assert sum(a[1] is None for a in after) == 2
+        else:
+            assert set(after) <= before
+        if name == "decontaminate":  # nothing here is of the benchmark
+            assert len(after) == docs.count()
+    none = stage(spark, docs.limit(0), sf)
+    assert none.count() == 0 and none.columns == out.columns

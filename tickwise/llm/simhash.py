@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
 from ..session import materialize
-from .common import append
+from .common import append, spare
 
 SHINGLE_WORDS = 3
 BUDGET = 3
@@ -300,13 +300,14 @@ def one_of_each(docs: DataFrame, found: DataFrame) -> DataFrame:
     Rows without an id stay.  Of a component's rows with that id, the one whose
     text has the smallest hash stays.
     """
-    columns = docs.columns
+    columns, own = docs.columns, spare(docs.columns)
+    key, row = [f"{own}id", f"{own}hash"], f"{own}row"
     kept = (found.where(F.col("doc_id") == F.col("component_id"))
-            .groupBy("root").agg(F.min("doc_id").alias("__id"), F.min("text_hash").alias("__hash"))
-            .select("__id", "__hash"))
-    keys = [F.col("doc_id").cast("long").alias("__id"), F.xxhash64("text").alias("__hash")]
-    staying = docs.select("*", *keys).join(kept, ["__id", "__hash"], "left_semi")
+            .groupBy("root").agg(F.min("doc_id").alias(key[0]), F.min("text_hash").alias(key[1]))
+            .select(*key))
+    keys = [F.col("doc_id").cast("long").alias(key[0]), F.xxhash64("text").alias(key[1])]
+    staying = docs.select("*", *keys).join(kept, key, "left_semi")
     # Equal texts of one id lie in one component.
-    one = (staying.groupBy("__id", "__hash")
-           .agg(F.first(F.struct(*columns)).alias("__row")).select("__row.*"))
+    one = (staying.groupBy(*key)
+           .agg(F.first(F.struct(*columns)).alias(row)).select(f"{row}.*"))
     return one.unionByName(docs.where(F.col("doc_id").isNull()))
