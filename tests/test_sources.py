@@ -44,6 +44,28 @@ def test_trades_without_finite_price_are_left_out(spark):
     assert (bar.open, bar.high, bar.low, bar.close, bar.volume) == (10.0, 12.0, 10.0, 12.0, 1.0)
 
 
+def test_written_bars_are_hashed_and_the_same(spark, sf_small, monkeypatch):
+    """The panel's bars need no sort of all trades; ties, NULL keys and orders come out alike."""
+    rows = [(s, d, k, j, float(p), 1.0) for s, d, k, j, p in (
+        ("A", 1, 5, 2, 10), ("A", 1, 5, 1, 11), ("A", 1, 5, 1, 9), ("A", 1, 9, 1, 12), ("A", 1, 9, 3, 8), ("A", 1, 7, 0, 99),
+        ("A", 2, None, 4, 3), ("A", 2, 1, 0, 4), ("A", 2, None, 2, 5), ("B", 1, None, None, 6), ("B", 1, None, 1, 7),
+        (None, 1, 3, 1, 2), (None, 1, 2, 1, 1), ("B", None, 1, 1, 1), ("C", 1, 1, 1, NAN), ("C", 1, 2, 1, 5), ("C", 3, 2, 1, INF))]
+    trades = spark.createDataFrame(rows, "s string, d int, k int, j int, px double, q double")
+    plain, hashed = (B.build_bars(trades, F.col("s"), F.col("d"), F.col("px"), F.col("q"), [F.col("k"), F.col("j"), F.col("px")], written=w)
+                     for w in (False, True))
+    assert hashed.columns == plain.columns and plain.count() == hashed.count() == 6
+    assert plain.exceptAll(hashed).count() == 0
+    bar = hashed.where("symbol = 'A' and date = 1").first()
+    assert (bar.open, bar.high, bar.low, bar.close, bar.volume) == (9.0, 99.0, 8.0, 8.0, 6.0)
+
+    plans, write = [], B.materialize
+    monkeypatch.setattr(B, "materialize", lambda df: (plans.append(df._jdf.queryExecution().executedPlan().toString()), write(df))[1])
+    monkeypatch.setattr(catalog.PN, "feature_panel", lambda bars, *_, **__: bars)
+    bars = catalog.build_panel(spark, sf_small)
+    assert "SortAggregate" not in plans[0] and plans[0].count("HashAggregate") >= 2
+    assert bars.exceptAll(B.bars_daily(spark, sf_small)).count() == 0 and bars.count() == B.bars_daily(spark, sf_small).count()
+
+
 def test_read_bars_pushes_filters(spark, tmp_path):
     rows = [("A", "2020-01-01", 1.0), ("A", "2020-01-02", NAN), ("B", "2020-01-02", 3.0), ("C", "2020-01-02", 4.0), ("A", "2020-01-04", 5.0)]
     bars_frame(spark, rows).unionByName(bars_frame(spark, [(None, "2020-01-02", 1.0)])).write.parquet(str(tmp_path / "bars"))

@@ -413,7 +413,7 @@ def build_panel(spark, sf_dir, tail="zero"):
     """The flagship panel from the landed tables: bars, macro calendar,
     statements and two benchmarks.  The three small inputs are materialised
     once (each feeds several branches of the plan)."""
-    bars = materialize(B.bars_daily(spark, sf_dir))
+    bars = B.bars_daily(spark, sf_dir, written=True)
     macro = materialize(M.build_macro(*SM.macro_series(spark, sf_dir)))
     return PN.feature_panel(bars, macro, _parsed(spark, sf_dir), BENCHMARKS,
                             items=ALL_ITEMS, tail=tail)

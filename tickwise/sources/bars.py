@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 
 from ..functions.columns import finite
 from ..functions.joins import broadcast_if_small
+from ..session import materialize
 from .tables import read_table
 
 BAR_SCHEMA = T.StructType([
@@ -49,23 +50,34 @@ def read_bars(spark: SparkSession, path: str, symbols: list[str] | None = None,
 
 
 def build_bars(trades: DataFrame, symbol: Column, ts: Column, price: Column,
-               qty: Column, order_by: list[Column]) -> DataFrame:
+               qty: Column, order_by: list[Column], written: bool = False) -> DataFrame:
     """Aggregate trades into OHLCV bars.  Trades without a finite price are
     left out, quantities that are not finite count as missing.
 
     ``ts`` is the bar key (already truncated to the grain), ``order_by`` the
     total order of trades inside a bar (ties must be broken by the caller).
+
+    A struct makes Spark sort all trades of a task.  With ``written`` they are
+    hashed instead: the first scan writes each bar's least and greatest value of
+    ``order_by[0]``, and only trades of these two (or of none) are ordered in a
+    second scan.  The bars are the same.
     """
     t = trades.select(symbol.alias("symbol"), ts.alias("date"), price.alias("px"),
-                      qty.alias("qty"), F.struct(*order_by).alias("ord"))
+                      qty.alias("qty"), F.struct(*[c.alias(f"col{i}") for i, c in enumerate(order_by, 1)]).alias("ord"))
     t = t.withColumns({"px": finite("px"), "qty": finite("qty")}).where(F.col("px").isNotNull())
-    return t.groupBy("symbol", "date").agg(
-        F.min_by("px", "ord").alias("open"),
-        F.max("px").alias("high"),
-        F.min("px").alias("low"),
-        F.max_by("px", "ord").alias("close"),
-        F.sum("qty").cast("double").alias("volume"),
-    )
+    ends = [F.min_by("px", "ord").alias("open"), F.max_by("px", "ord").alias("close")]
+    rest = [F.max("px").alias("high"), F.min("px").alias("low"), F.sum("qty").cast("double").alias("volume")]
+    if not written:
+        return t.groupBy("symbol", "date").agg(*ends, *rest).select("symbol", "date", *BAR_SCHEMA.names[2:])
+    t = t.withColumn("lead", F.col("ord").getField("col1"))
+    wide = materialize(t.groupBy("symbol", "date").agg(F.min("lead").alias("least"), F.max("lead").alias("most"), *rest))
+    # A NULL symbol or date is a bar of its own, and a NULL comes first in the order.
+    own = wide.select(F.col("symbol").alias("_symbol"), F.col("date").alias("_date"), "least", "most")
+    same = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col("date").eqNullSafe(F.col("_date"))
+    edge = (t.join(own, same).where(F.col("lead").isNull() | F.col("lead").isin(F.col("least"), F.col("most")))
+            .groupBy("_symbol", "_date").agg(*ends))
+    same = F.col("symbol").eqNullSafe(F.col("_symbol")) & F.col("date").eqNullSafe(F.col("_date"))
+    return materialize(wide.join(edge, same).select("symbol", "date", *BAR_SCHEMA.names[2:]))
 
 
 def supplier_symbols(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,13 +118,14 @@ def trades(spark: SparkSession, sf_dir: str, symbols: list[str] | None = None,
 
 
 def bars_daily(spark: SparkSession, sf_dir: str, symbols: list[str] | None = None,
-               start: str | None = None, end: str | None = None) -> DataFrame:
+               start: str | None = None, end: str | None = None, written: bool = False) -> DataFrame:
     """Daily bars from line items: symbol = supplier region, date = ship date,
     price = extended price / quantity, volume = quantity.
 
     ``(l_orderkey, l_linenumber)`` is not unique in the landed data, so the
     open/close order is ``(l_orderkey, l_linenumber, l_partkey, px)``.
-    ``start``/``end`` (inclusive) are pushed into the Parquet scan.
+    ``start``/``end`` (inclusive) are pushed into the Parquet scan, ``written``
+    is that of :func:`build_bars`.
     """
     return build_bars(
         trades(spark, sf_dir, symbols, start, end),
@@ -121,6 +134,7 @@ def bars_daily(spark: SparkSession, sf_dir: str, symbols: list[str] | None = Non
         price=F.col("px"),
         qty=F.col("l_quantity"),
         order_by=[F.col("l_orderkey"), F.col("l_linenumber"), F.col("l_partkey"), F.col("px")],
+        written=written,
     )
 
 
