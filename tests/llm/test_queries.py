@@ -175,6 +175,20 @@ def test_pipeline_cuts_lines_of_small_sources(spark, sf):
     assert all(r.text.startswith("own ") for r in found)
 
 
+def test_pipeline_keeps_one_of_like_pages(spark, sf):
+    """Pages that a source holds twice are left to the stage that keeps one of them."""
+    page = "\n".join(f"line {k} of a page that its source holds twice" for k in range(20))
+    docs = [(1, page), (2, page), (3, "menu"), (4, "menu"), (5, "menu\n\n \t"), (6, "menu\nown text"), (7, ""), (8, None)]
+    docs = [(i, "s", t, None if t is None else len(t)) for i, t in docs]
+    df = spark.createDataFrame(docs, "doc_id long, source string, text string, n_chars long")
+    lines = corpus_pipeline.drop_boilerplate_lines(spark, df, sf)
+    found = {r.doc_id: r for r in lines.collect()}
+    assert {i: r.text for i, r in found.items()} == {i: t for i, _, t, _ in docs} | {6: "own text"}
+    assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in found.values())
+    single = corpus_pipeline.drop_near_duplicates(spark, corpus_pipeline.materialize(lines), sf).collect()
+    assert sorted(r.doc_id for r in single) == [1, 3, 6, 7] and page in {r.text for r in single}
+
+
 def test_xxhash_seed(spark):
     """Spark's xxhash64 of one string is XXH64 with seed 42."""
     own = spark.sql("SELECT xxhash64('héllo')").first()[0]
